@@ -1,0 +1,5 @@
+"""No streaming operators: the workload is batch.
+
+Incremental runs come from anti joins against the ledgers
+(``casebind.operators.history``), not from streaming state.
+"""
