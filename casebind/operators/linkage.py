@@ -185,26 +185,37 @@ def _full(first: str, last: str) -> Column:
     return F.concat(F.col(first), F.col(last))
 
 
+def _probe(persons: DataFrame, link: LinkConfig) -> DataFrame:
+    return persons.withColumns({
+        "ref_dob": F.col("submitted_dob"),
+        "full": _full("first_name_clean", "last_name_clean"),
+        "slot": _slot(F.col("submitted_collection_date"), link.day_window),
+    })
+
+
 def exact_pairs(persons: DataFrame, refs: DataFrame, link: LinkConfig) -> DataFrame:
-    """Pairs with the same full name and birth date, within the date window."""
-    left = persons.select(
-        *PERSON, F.col("submitted_dob").alias("ref_dob"),
-        _full("first_name_clean", "last_name_clean").alias("full"),
-        _slot(F.col("submitted_collection_date"), link.day_window).alias("slot"))
+    """Each person with the references of the same full name and birth date within the date
+    window, or once without any."""
     right = refs.select(
         "*", _full("first_name_clean_right", "last_name_clean_right").alias("full"),
         F.explode(_near_slots(F.col("reference_collection_date"), link.day_window)).alias("slot"))
-    return left.join(right, ["ref_dob", "full", "slot"]).filter(_in_window(link.day_window))
+    left = _probe(persons, link).alias("l")
+    right = right.alias("r")
+    same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("ref_dob", "full", "slot")]
+    return left.join(right, [*same, _in_window(link.day_window)], "left").drop(
+        "full", "slot", "ref_dob")
 
 
-def similar_pairs(persons: DataFrame, refs: DataFrame, link: LinkConfig) -> DataFrame:
-    """Pairs at or above the threshold in either name order; a pair may come more than once."""
+def similar_pairs(persons: DataFrame, refs: DataFrame, link: LinkConfig,
+                  settled: Column | None = None) -> DataFrame:
+    """Each person with the references at or above the threshold in either name order, or
+    without any; pairs may repeat. ``settled`` persons are kept but not compared."""
     size, t = piece_length(link.threshold), link.threshold
-    left = persons.select(
-        *PERSON, F.col("submitted_dob").alias("ref_dob"),
-        _full("first_name_clean", "last_name_clean").alias("full"),
-        _slot(F.col("submitted_collection_date"), link.day_window).alias("slot"))
-    left = left.select("*", F.inline(_all_pieces(F.col("full"), size)))
+    pieces = _all_pieces(F.col("full"), size)
+    if settled is not None:
+        pieces = F.when(~settled, pieces)
+    left = _probe(persons, link)
+    left = left.select("*", F.inline_outer(pieces))
     right = refs.select(
         "*", F.explode(F.array_distinct(F.array(
             _full("first_name_clean_right", "last_name_clean_right"),
@@ -213,19 +224,21 @@ def similar_pairs(persons: DataFrame, refs: DataFrame, link: LinkConfig) -> Data
     right = right.select("*", F.explode(
         _near_slots(F.col("reference_collection_date"), link.day_window)).alias("slot"))
     edits = edits_allowed(F.greatest(F.length("full"), F.length("ref_full")), t)
-    return (
-        left.join(right, ["ref_dob", "slot", "piece"])
-        .filter(_in_window(link.day_window)
-                & (F.abs(F.length("full") - F.length("ref_full")) <= edits)
-                & ((F.abs(F.col("at") - F.col("ref_at")) <= edits) if size else F.lit(True)))
-        .filter(F.call_function("levenshtein", F.col("full"), F.col("ref_full"), edits) >= 0)
-    )
+    same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("ref_dob", "slot", "piece")]
+    close = [
+        _in_window(link.day_window),
+        F.abs(F.length("full") - F.length("ref_full")) <= edits,
+        F.abs(F.col("at") - F.col("ref_at")) <= edits,
+        F.call_function("levenshtein", F.col("full"), F.col("ref_full"), edits) >= 0,
+    ]
+    return left.alias("l").join(right.alias("r"), [*same, *close], "left").drop(
+        "full", "ref_full", "slot", "ref_dob", "piece", "at", "ref_at")
 
 
 def candidates(persons: DataFrame, refs: DataFrame, link: LinkConfig) -> DataFrame:
     """Distinct pairs of demographics at or above the threshold, with their scores."""
-    return _scored(similar_pairs(persons.select(*PERSON).distinct(), refs, link)).select(
-        *PERSON, *MATCH).distinct()
+    pairs = similar_pairs(persons.select(*PERSON).distinct(), refs, link)
+    return _scored(pairs.filter(F.col("CASE_ID").isNotNull())).select(*PERSON, *MATCH).distinct()
 
 
 def _scored(pairs: DataFrame) -> DataFrame:
@@ -241,38 +254,41 @@ def _scored(pairs: DataFrame) -> DataFrame:
 
 # ---- deciding ------------------------------------------------------------------------------
 
-def _best(pairs: DataFrame) -> DataFrame:
-    """The best case of each person, and whether only one case has exactly that name.
+def _rank() -> Column:
+    """Sorts the best pair first; null where a person has no reference.
 
-    All three aggregates ignore repeated pairs. Rank: higher ratio, then direct over swapped
-    name order, fewer business days, lower case id, earlier date.
+    Higher ratio, then direct over swapped name order, fewer business days, lower case id,
+    earlier date.
     """
-    scored = _scored(pairs)
-    same_name = F.col("match_ratio") == 100
-    rank = F.struct(
+    return F.when(F.col("CASE_ID").isNotNull(), F.struct(
         (-F.greatest("match_ratio", "reverse_match_ratio")).alias("by_ratio"),
         (-F.col("match_ratio")).alias("by_direct"),
         "business_day_count", "CASE_ID", "reference_collection_date",
         "first_name_clean_right", "last_name_clean_right", "match_ratio", "reverse_match_ratio",
-    )
-    return (
-        scored.groupBy(*PERSON)
-        .agg(F.min(rank).alias("best"),
-             F.min(F.when(same_name, F.col("CASE_ID"))).alias("low"),
-             F.max(F.when(same_name, F.col("last_case_id"))).alias("high"))
-        .select(
-            *PERSON, *[F.col(f"best.{c}").alias(c) for c in MATCH],
-            F.when(F.col("low") == F.col("high"), "exact").otherwise("fuzzy").alias("bucket"))
-    )
+    ))
 
 
 def link_persons(persons: DataFrame, refs: DataFrame, link: LinkConfig) -> DataFrame:
-    """One row per distinct person with a case at or above the threshold."""
+    """One row per distinct person that has a case at or above the threshold.
+
+    An equal name outranks every other candidate, so persons with one pass through the second
+    join uncompared. All aggregates ignore repeated pairs.
+    """
     persons = persons.filter(complete()).select(*PERSON).distinct()
-    by_name = _best(exact_pairs(persons, refs, link))
-    # an equal name outranks every other candidate, so only the others need the fuzzy pass
-    rest = persons.join(by_name, PERSON, "left_anti")
-    return by_name.unionByName(_best(similar_pairs(rest, refs, link)))
+    by_name = (
+        _scored(exact_pairs(persons, refs, link)).groupBy(*PERSON)
+        .agg(F.min(_rank()).alias("same_name"),
+             (F.min("CASE_ID") == F.max("last_case_id")).alias("one_case"))
+    )
+    settled = F.col("same_name").isNotNull()
+    pairs = similar_pairs(by_name, refs, link, settled).filter(settled | F.col("CASE_ID").isNotNull())
+    return (
+        _scored(pairs).groupBy(*PERSON)
+        .agg(F.min(F.coalesce(F.col("same_name"), _rank())).alias("best"),
+             F.max("one_case").alias("one_case"))
+        .select(*PERSON, *[F.col(f"best.{c}").alias(c) for c in MATCH],
+                F.when(F.col("one_case"), "exact").otherwise("fuzzy").alias("bucket"))
+    )
 
 
 @dataclass(frozen=True)

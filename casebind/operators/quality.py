@@ -62,8 +62,8 @@ def subtype_counts(df: DataFrame) -> DataFrame:
     """Submissions with several subtypes and how many, most first."""
     code = _subtype_code("WDRS_RESULT_SUMMARY", "TEST_RESULT", "WDRS_RESULT")
     return (
-        df.select(KEY, code.alias("code")).filter(F.col("code").isNotNull()).distinct()
-        .groupBy(KEY).agg(F.count("*").alias("count")).filter(F.col("count") > 1)
+        df.select(KEY, code.alias("code")).groupBy(KEY)
+        .agg(F.countDistinct("code").alias("count")).filter(F.col("count") > 1)
         .orderBy(F.desc("count"), KEY)
     )
 

@@ -85,7 +85,8 @@ def wrangle(pulled: PullResult, rostered: DataFrame, config: EngineConfig,
     new = quality.with_history_and_subtypes(standardize(raw), rostered, hot)
     checked = stage(quality.add_flags(new, config.strict_dob_rule), "checked")
     split = quality.split_clean_and_issues(checked)
-    return WrangleResult(checked, split.clean, split.issues, quality.link_input(split.clean), hot)
+    to_link = stage(quality.link_input(split.clean), "to_link")
+    return WrangleResult(checked, split.clean, split.issues, to_link, hot)
 
 
 def _hot_people(raw: DataFrame) -> HotKeys:
@@ -118,7 +119,8 @@ def rematch(no_match: DataFrame, pulled: PullResult, config: EngineConfig,
     """Try the open non-matches of earlier runs against today's registry."""
     history = tables.open_non_matches(no_match)
     hot = hot_keys(history, [KEY])
-    people = keep_one(history.select(KEY, "internal_create_date", *linkage.PERSON), [KEY])
+    people = stage(
+        keep_one(history.select(KEY, "internal_create_date", *linkage.PERSON), [KEY]), "rematch_input")
     link = linkage.demographic_link(
         people, pulled.registry, config.link, src_columns=linkage.LEDGER,
         hot=hot_keys(history, linkage.PERSON))

@@ -36,7 +36,8 @@ def staged(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataF
     """Write once, read many: later jobs start from the files and read only their columns."""
     path = staging_path(df.sparkSession, label)
     df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(
+        *[f"`{c}`" for c in df.columns])
 
 
 def unstaged(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:

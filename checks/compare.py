@@ -40,7 +40,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _normal(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame[sorted(frame.columns)]
-    text = frame.map(lambda v: "~" if v is None or v is pd.NaT or v != v
+    text = frame.map(lambda v: "~" if pd.isna(v)
                      else f"{v:.9g}" if isinstance(v, (int, float)) and not isinstance(v, bool)
                      else str(v).removesuffix(" 00:00:00"))
     return text.sort_values(list(text.columns)).reset_index(drop=True)

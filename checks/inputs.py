@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from casebind import settings as S
 from casebind.functions.text import name_clean
 from casebind.operators import linkage
+from casebind.operators.frames import keep_one
 from casebind.operators.standardize import standardize
-from casebind.plans import stages
+from casebind.plans import run, stages
 from casebind.settings import EngineConfig
+from casebind.sources.staging import staged
 from casebind.sources.tables import ref_assemble
 from checks.fixtures import BASE_TABLES, RUN_DATE, spark_sql
 
@@ -96,10 +98,24 @@ class Inputs:
     def reviews(self) -> stages.ReviewResult:
         return stages.review(self.review_ledger, self.sheets, self.registry, CONFIG)
 
+    @cached_property
+    def ledgers(self) -> dict[str, DataFrame]:
+        """The earlier run's ledgers as stored tables, which is what they are outside of tests."""
+        kept = {"rostered_tbl": self.rostered, "no_match_tbl": self.no_match,
+                "fuzzy_matched_review_tbl": self.review_ledger}
+        return {name: staged(rows, name) for name, rows in kept.items()}
+
+    @cached_property
+    def whole_run(self) -> run.RunResult:
+        """A run as it happens: frames that several outputs read are written once."""
+        inputs = run.Inputs(
+            staged(self.submissions, "submissions"), self.fixture("wizard"),
+            self.fixture("investigation"), self.sheets, self.forms)
+        return run.plan(inputs, self.ledgers.__getitem__, CONFIG, staged)
+
     @cached_property
     def all_link(self) -> linkage.LinkResult:
         """Every submission linked, without the QA and history filters."""
-        from casebind.operators.frames import keep_one
         src = keep_one(self.standardized.select(*S.FUZZY_INPUT_COLUMNS), ["submission_number"])
         return linkage.demographic_link(
             src, self.registry, carry=["internal_create_date", "PatientFirstName",

@@ -280,8 +280,8 @@ UNION ALL BY NAME SELECT * FROM re_id_matched""",
     "resolved": """SELECT submission_number FROM re_linked WHERE bucket = 'fuzzy'
 UNION SELECT submission_number FROM re_matched""",
     # forms
-    "slots_long": f"""SELECT wdrs_case_id AS CaseID, variable, value FROM (
- UNPIVOT INCLUDE NULLS form_records ON {SLOT_NAMES} INTO NAME variable VALUE value)""",
+    "slots_long": f"""SELECT wdrs_case_id AS CaseID, variable, value
+FROM form_records UNPIVOT INCLUDE NULLS (value FOR variable IN ({SLOT_NAMES}))""",
     "slots": """SELECT CaseID, CAST(regexp_extract(variable, '\\d+') AS INTEGER) AS lab_number,
  max(value) FILTER (WHERE variable LIKE 'tsttyp%') AS tsttyp, max(value) FILTER (WHERE variable LIKE 'poststdt%') AS poststdt,
  max(value) FILTER (WHERE variable LIKE 'tstres%') AS tstres, max(value) FILTER (WHERE variable LIKE 'hosplab%') AS hosplab

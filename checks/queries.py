@@ -12,7 +12,6 @@ from casebind.functions import codes, flags
 from casebind.functions.dates import business_days, parse_date
 from casebind.functions.text import has_value, name_clean, split_field_slot
 from casebind.operators import forms, frames, history, linkage, mrn, quality, roster
-from casebind.plans import run as whole_run
 from casebind.plans import stages
 from casebind.sinks import ledgers, outputs
 from casebind.sources import staging, tables
@@ -103,21 +102,11 @@ def _(i):
     return frames.union_all(target, history.absent_rows(batch, target))
 
 
-def _run(i: Inputs) -> whole_run.RunResult:
-    final = stages.final_roster(i.matched, i.rematched, i.reviews, i.registry, CONFIG)
-    return whole_run.RunResult(i.pulled, i.wrangled, i.matched, i.rematched, i.reviews, final)
-
-
-def _ledger_tables(i: Inputs, names) -> dict[str, DataFrame]:
-    """Ledgers before the run; tables an earlier run left nothing in are cut from the rostered one."""
-    known = {"rostered_tbl": i.rostered, "no_match_tbl": i.no_match,
-             "unmatched_resp": i.no_match, "fuzzy_matched_review_tbl": i.review_ledger}
-    return {name: known.get(name, i.rostered) for name in names}
-
-
 def _routed(i: Inputs, routes) -> DataFrame:
-    targets = _ledger_tables(i, {table for _, table in routes})
-    out = ledgers.routed_rows(targets, _run(i).buckets(), routes, i.wrangled.hot)
+    """Rows each ledger gains; where no earlier ledger is at hand, the rostered one stands in."""
+    known = i.ledgers | {"unmatched_resp": i.ledgers["no_match_tbl"]}
+    targets = {table: known.get(table, i.ledgers["rostered_tbl"]) for _, table in routes}
+    out = ledgers.routed_rows(targets, i.whole_run.buckets(), routes, i.whole_run.wrangled.hot)
     return frames.union_all(*[
         rows.groupBy(KEY).agg(F.count("*").alias("new_rows"))
         .select(F.lit(table).alias("ledger"), KEY, "new_rows")
@@ -136,13 +125,13 @@ def _(i):
 
 @query("flag_resolved")
 def _(i):
-    return history.flag_resolved(i.no_match, _run(i).resolved_keys()).select(
+    return history.flag_resolved(i.ledgers["no_match_tbl"], i.whole_run.resolved_keys()).select(
         KEY, "WDRS_RESULT", "SPECIMEN_TYPE", "match_found")
 
 
 @query("review_sheet")
 def _(i):
-    return _run(i).review_sheet()
+    return i.whole_run.review_sheet()
 
 
 @query("roster_csv")
@@ -598,7 +587,7 @@ def _(i):
 
 @query("union_rosters")
 def _(i):
-    return _run(i).roster
+    return i.whole_run.roster
 
 
 @query("form_unpivot")
@@ -670,17 +659,17 @@ def _(i):
 @query("combine_and_write")
 def _(i):
     """The rostered ledger after the run has been written to it."""
-    target = i.rostered
+    target = i.ledgers["rostered_tbl"]
     new = ledgers.routed_rows(
-        {"rostered_tbl": target}, _run(i).buckets(),
-        [("combined_roster", "rostered_tbl"), ("reviewed", "rostered_tbl")], i.wrangled.hot)
+        {"rostered_tbl": target}, i.whole_run.buckets(),
+        [("combined_roster", "rostered_tbl"), ("reviewed", "rostered_tbl")], i.whole_run.wrangled.hot)
     return outputs.cumulative_roster(frames.union_diagonal(target, new["rostered_tbl"]))
 
 
 @query("run")
 def _(i):
     """Everything a run yields, counted by kind."""
-    result = _run(i)
+    result = i.whole_run
     kinds = result.buckets() | {
         "review_sheet": result.review_sheet(), "roster": result.roster,
         "resolved": result.resolved_keys().distinct(),
