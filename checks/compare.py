@@ -24,6 +24,8 @@ def session(cores: int = 8) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # test tables are small but fan out: do not squeeze them onto one or two cores
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate())
