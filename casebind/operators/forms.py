@@ -9,7 +9,6 @@ from casebind import settings as S
 from casebind.functions import codes
 from casebind.functions.text import has_value, split_field_slot
 from casebind.operators.frames import columns_matching, dates_as_text
-from casebind.operators.skew import HotKeys, lookup_join
 
 SLOTS = range(1, S.FORM_SLOTS + 1)
 SLOT_COLUMNS = [f"{field}{slot}" for slot in SLOTS for field in S.FORM_FIELDS]
@@ -60,12 +59,15 @@ def case_free_slot(forms: DataFrame, case: str = "wdrs_case_id") -> DataFrame:
         F.col("first_empty_lab") != 1)
 
 
-def form_join(roster: DataFrame, forms: DataFrame, hot: HotKeys | None = None) -> DataFrame:
-    """Roster rows whose case has a form with a later free slot."""
+def form_join(roster: DataFrame, forms: DataFrame) -> DataFrame:
+    """Roster rows whose case has a form with a later free slot.
+
+    A roster has one row per case, dates and result, so no case can hold a large share of it.
+    """
     lab = roster.select(
         F.col("CaseID").cast("string").alias("CaseID"), "PARTY_EXTERNAL_ID",
         "WDRS_TEST_PERFORMED", "WDRS_RESULT", "SPECIMEN_COLLECTION_DTTM")
-    return lookup_join(lab, case_free_slot(forms), ["CaseID"], "inner", hot)
+    return lab.join(case_free_slot(forms), "CaseID")
 
 
 def slot_fill(rows: DataFrame) -> DataFrame:
@@ -82,10 +84,9 @@ def slot_fill(rows: DataFrame) -> DataFrame:
     })
 
 
-def form_updates(roster: DataFrame, forms: DataFrame, ref: DataFrame,
-                 hot: HotKeys | None = None) -> DataFrame:
+def form_updates(roster: DataFrame, forms: DataFrame, ref: DataFrame) -> DataFrame:
     """Form rows to import: ids and the filled slot of every rostered case that has a form."""
-    filled = slot_fill(form_join(roster, forms, hot)).select(
+    filled = slot_fill(form_join(roster, forms)).select(
         "CaseID", "PARTY_EXTERNAL_ID", *SLOT_COLUMNS).distinct()
     local_ids = ref.select(
         F.col("CASE_ID").cast("string").alias("CaseID"), "RESPNET_CASE_ID").distinct()

@@ -69,8 +69,8 @@ def people(src: DataFrame, names: LinkColumns = SUBMITTED, carry: Sequence[str]
         KEY, *carry,
         name_clean(F.col(names.first)).alias("first_name_clean"),
         name_clean(F.col(names.last)).alias("last_name_clean"),
-        F.col(names.dob).alias("submitted_dob"),
-        F.col(names.collected).alias("submitted_collection_date"),
+        F.col(names.dob).cast("date").alias("submitted_dob"),
+        F.col(names.collected).cast("date").alias("submitted_collection_date"),
     )
 
 
@@ -97,8 +97,8 @@ def reference_people(ref: DataFrame, names: LinkColumns = REGISTRY) -> DataFrame
         ref.select(
             name_clean(F.col(names.first)).alias("first_name_clean_right"),
             name_clean(F.col(names.last)).alias("last_name_clean_right"),
-            F.col(names.dob).alias("ref_dob"),
-            F.col(names.collected).alias("reference_collection_date"),
+            F.col(names.dob).cast("date").alias("ref_dob"),
+            F.col(names.collected).cast("date").alias("reference_collection_date"),
             "CASE_ID",
         )
         .filter((F.col("first_name_clean_right") != "") & (F.col("last_name_clean_right") != "")

@@ -66,7 +66,7 @@ def create_roster(matched: DataFrame, ref: DataFrame, run_date: dt.date) -> Data
 def _registry_labs(ref: DataFrame) -> DataFrame:
     return ref.select(
         F.col("CASE_ID").alias("CaseID"), strip(F.col("WDRS__RESULT")).alias("known_label"),
-        F.col("SPECIMEN_COLLECTION_DTTM").alias("known_date")).distinct()
+        F.col("SPECIMEN_COLLECTION_DTTM").cast("date").alias("known_date")).distinct()
 
 
 def not_in_registry(roster: DataFrame, ref: DataFrame) -> DataFrame:
