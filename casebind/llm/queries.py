@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from casebind.llm import chat
+from casebind.llm.fingerprints import compared
+from casebind.llm.license_scan import scan_licences
+from casebind.llm.mixing import mix
 from casebind.llm.substring_dedup import dedup_substrings
 
 
@@ -21,8 +25,50 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.size("factors").alias("n_factors")))
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (compared(table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_chars",
+                    F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+                    "fingerprint", "edited_fingerprint", "near_edited", "near_next"))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def conversation_events(rows: DataFrame) -> DataFrame:
+    """An event log of the stored turns: each begins a message and streams its text as a delta."""
+    same_turn = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
+    turns = rows.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text",
+                        F.row_number().over(same_turn).alias("copy"))
+    message = F.struct(F.coalesce("turn", F.lit(-1)).alias("turn"), "copy")
+    seq = F.struct(F.coalesce("turn", F.lit(-1)).alias("turn"), "copy", F.lit(0).alias("step"))
+    return turns.select("conv_id", message.alias("message"), "role", F.inline(F.array(
+        F.struct(seq.alias("seq"), F.lit("message").alias("event"), F.lit("").alias("text")),
+        F.struct(seq.withField("step", F.lit(1)).alias("seq"), F.lit("delta").alias("event"),
+                 F.col("text").alias("text")))))
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame(
+        [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")],
+        rows.schema)
+    messages = chat.reconstruct(conversation_events(rows.union(probe)))
+    return chat.read_back(chat.render(messages))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_fingerprints": op2_fingerprints,
+    "op3_license_scan": op3_license_scan,
+    "op4_chat": op4_chat,
+    "op8_mixing": op8_mixing,
 }
 
 ORACLES: dict[str, str] = {}
