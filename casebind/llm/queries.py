@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from casebind.llm import chat
+from casebind.llm import chat, toxicity
 from casebind.llm.fingerprints import compared
 from casebind.llm.license_scan import scan_licences
 from casebind.llm.mixing import mix
@@ -58,6 +58,14 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.render(messages))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return (toxicity.score(docs, model)
+            .select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"),
+                    "score", "predicted"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -68,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fingerprints": op2_fingerprints,
     "op3_license_scan": op3_license_scan,
     "op4_chat": op4_chat,
+    "op6_toxicity": op6_toxicity,
     "op8_mixing": op8_mixing,
 }
 
