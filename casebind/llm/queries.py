@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casebind.llm import chat, toxicity
+from casebind.llm.decontaminate import find_items
 from casebind.llm.fingerprints import compared
 from casebind.llm.license_scan import scan_licences
 from casebind.llm.mixing import mix
+from casebind.llm.ngram_join import near_duplicates
 from casebind.llm.substring_dedup import dedup_substrings
 
 
@@ -66,6 +68,14 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "score", "predicted"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("node")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -77,7 +87,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_license_scan": op3_license_scan,
     "op4_chat": op4_chat,
     "op6_toxicity": op6_toxicity,
+    "op7_decontamination": op7_decontamination,
     "op8_mixing": op8_mixing,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 ORACLES: dict[str, str] = {}
