@@ -11,6 +11,7 @@ from casebind.llm import chat, toxicity
 from casebind.llm.decontaminate import find_items
 from casebind.llm.fingerprints import compared
 from casebind.llm.license_scan import scan_licences
+from casebind.llm.line_dedup import dedup_lines
 from casebind.llm.mixing import mix
 from casebind.llm.ngram_join import near_duplicates
 from casebind.llm.substring_dedup import dedup_substrings
@@ -60,6 +61,10 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.render(messages))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fingerprints": op2_fingerprints,
     "op3_license_scan": op3_license_scan,
     "op4_chat": op4_chat,
+    "op5_line_dedup": op5_line_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
     "op8_mixing": op8_mixing,
