@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from casebind.llm import chat, toxicity
+from casebind.llm import chat, pii, toxicity
 from casebind.llm.decontaminate import find_items
 from casebind.llm.fingerprints import compared
 from casebind.llm.license_scan import scan_licences
@@ -77,6 +77,22 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(table(spark, sf_dir, "documents"))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, pii.BASE),
+        F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        joined(F.concat("base", "added")).alias("spans"))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("node")
 
@@ -95,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
     "op8_mixing": op8_mixing,
+    "op9_pii": op9_pii,
     "op10_ngram_join": op10_ngram_join,
 }
 
