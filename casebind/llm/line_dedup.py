@@ -18,7 +18,8 @@ is verified. Two facts keep the keys few without losing a pair:
   pairs within a group are listed.
 
 At scale: a line that is everywhere is one row a task after map-side combining; what is shuffled
-besides are hashes and places. Text is shuffled by document, once if only ids and texts are kept.
+besides are hashes and places. Text is shuffled by document, at every size in the same way, so
+that one exchange serves all joins with it if only ids and texts are asked for.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casebind.llm.blocks import sort_id
 from casebind.sources.staging import staged
 
 MIN_LENGTH = 10
@@ -54,11 +54,11 @@ def _distinct_lines(docs: DataFrame) -> DataFrame:
     """Every distinct line that is not empty: two hashes, earliest place, length, half keys."""
     n = F.length("line")
     keys = F.when(n >= MIN_LENGTH, F.array(*(key for key, _ in _halves(F.col("line"), n))))
-    return (docs.select("_id", F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
+    return (docs.select("doc_id", F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
             .where("line <> ''")
-            .select(F.xxhash64("line").alias("h"), F.hash("line").alias("g"), "_id", "pos",
+            .select(F.xxhash64("line").alias("h"), F.hash("line").alias("g"), "doc_id", "pos",
                     n.alias("n"), keys.alias("keys"))
-            .groupBy("h", "g").agg(F.min(F.struct("_id", "pos")).alias("place"),
+            .groupBy("h", "g").agg(F.min(F.struct(F.col("doc_id").alias("id"), "pos")).alias("place"),
                                    F.first("n").alias("n"), F.first("keys").alias("keys")))
 
 
@@ -110,6 +110,11 @@ def _near_pairs(variants: DataFrame) -> DataFrame:
     return (found.select("place", earlier.alias("earlier")).where("earlier < place").distinct())
 
 
+def _by_id(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
+    """``docs`` with what ``lists`` has for their ids (``_id``); a null id meets a null one."""
+    return docs.join(lists.hint("merge"), docs["doc_id"].eqNullSafe(lists["_id"]), how).drop("_id")
+
+
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` cut to the lines that stay, and n_lines and n_kept (without empty
     lines; columns of these names are replaced).
@@ -119,16 +124,16 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     repeated lines may stay.
     """
     names = [c for c in docs.columns if c not in ("n_lines", "n_kept")]
-    by_id = docs.select(sort_id().alias("_id"), *[f"`{c}`" for c in names])
-    texts = by_id.select("_id", "text")
+    docs = docs.select(*[f"`{c}`" for c in names])
+    texts = docs.select("doc_id", "text")
     lines = staged(_distinct_lines(texts), "lines")
     candidates = staged(_candidates(lines), "line-candidates")
-    wanted = candidates.groupBy(F.col("place._id").alias("_id")).agg(F.collect_list(F.struct(
+    wanted = candidates.groupBy(F.col("place.id").alias("_id")).agg(F.collect_list(F.struct(
         F.col("place.pos").alias("pos"), "n", "way", "key", "alike", "longer", "shorter")).alias("w"))
-    found = (texts.join(wanted, "_id").withColumn("lines", lines_of(F.col("text")))
-             .select("_id", "lines", F.explode("w").alias("w"))
-             .select(F.struct("_id", F.col("w.pos").alias("pos")).alias("place"), "w.*",
-                     F.get("lines", F.col("w.pos")).alias("line"))
+    found = (_by_id(texts, wanted, "inner").withColumn("lines", lines_of(F.col("text")))
+             .select("doc_id", "lines", F.explode("w").alias("w"))
+             .select(F.struct(F.col("doc_id").alias("id"), F.col("w.pos").alias("pos")).alias("place"),
+                     "w.*", F.get("lines", F.col("w.pos")).alias("line"))
              .where(F.length("line") == F.col("n")))  # of rows with one id, the one meant
     ways = [rest for _, rest in _halves(F.col("line"), F.col("n"))]
     rest = F.when(F.col("way") == 0, ways[0]).when(F.col("way") == 1, ways[1]).otherwise(ways[2])
@@ -138,13 +143,13 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
             .join(known.select(F.col("place").alias("earlier"), F.col("line").alias("before")), "earlier")
             .where(F.levenshtein("line", "before", 1) >= 0).select("place").distinct())
     kept = (lines.select("place").join(near, "place", "left_anti")
-            .groupBy(F.col("place._id").alias("_id")).agg(F.collect_list("place.pos").alias("_kept")))
+            .groupBy(F.col("place.id").alias("_id")).agg(F.collect_list("place.pos").alias("_kept")))
     all_lines = F.col("_lines")
     numbers = F.sequence(F.lit(0), F.size(all_lines) - 1)
     empty = F.filter(numbers, lambda i: F.get(all_lines, i) == "")
     stays = F.array_intersect(numbers, F.concat(
         F.coalesce("_kept", F.array().cast("array<int>")), empty))
-    return (by_id.join(kept, "_id", "left").withColumn("_lines", lines_of(F.col("text")))
+    return (_by_id(docs, kept, "left").withColumn("_lines", lines_of(F.col("text")))
             .withColumn("_stay", stays).withColumn("_empty", F.size(empty))
             .withColumn("text", F.array_join(F.transform("_stay", lambda i: F.get(all_lines, i)), "\n"))
             .withColumn("n_lines", F.size(all_lines) - F.col("_empty"))
