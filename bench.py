@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from casebind.operators import forms, linkage, mrn, quality, roster
 from casebind.operators.standardize import standardize
 from casebind.plans import run, stages
-from casebind.sources.staging import staged
+from casebind.sources.ledger import Ledger
+from casebind.sources.staging import staged, staging_path
 from casebind.sources.tables import ref_assemble
 from checks.compare import session
 from checks.inputs import CONFIG, Inputs
@@ -47,8 +48,12 @@ def main() -> None:
         return linkage.demographic_link(to_link, registry, CONFIG.link, carry=carry)
 
     def whole_run() -> DataFrame:
+        """Match everything and write every ledger and file, to new folders."""
         inputs = run.Inputs(submissions, wizard, labs, sheets, form_table)
-        return run.plan(inputs, ledgers.__getitem__, CONFIG, staged).roster
+        ledger = Ledger(spark, staging_path(spark, "bench-ledger"))
+        result = run.plan(inputs, ledgers.__getitem__, CONFIG, staged)
+        run.combine_and_write(result, ledger, staging_path(spark, "bench-out"), form_table, CONFIG)
+        return result.roster
 
     queries = {
         "standardize": lambda: standardized,
@@ -56,7 +61,8 @@ def main() -> None:
         "qa_multiple_subtypes": lambda: quality.multiple_subtypes(standardized),
         "demographic_link": lambda: link().rows,
         "mrn_link": lambda: mrn.mrn_link(to_link, registry),
-        "rematch": lambda: stages.rematch(ledgers["no_match_tbl"], pulled, CONFIG).matched,
+        "rematch": lambda: stages.rematch(
+            ledgers["no_match_tbl"], ledgers["rostered_tbl"], pulled, CONFIG, staged).matched,
         "create_roster": lambda: roster.dedup_roster(
             roster.create_roster(ledgers["fuzzy_matched_review_tbl"], registry, CONFIG.run_date), registry),
         "form_updates": lambda: forms.form_updates(

@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from casebind.functions.text import strip
 from casebind.settings import DATE_PATTERNS, EXCEL_EPOCH
 
 _A_MONDAY = "1970-01-05"
+_TIME_OF_DAY = r"(?i)([T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*([AP]M)?(Z|[+-]\d{2}:?\d{2})?|(?<=^\d{5})\.\d+)$"
 
 
 def parse_date(text: Column) -> Column:
     """Date from any accepted spelling, or an Excel day number; anything else is null.
 
+    White space around it, a time of day after it and a fraction of a day number are ignored.
     The spelling is recognised first, so each row goes through one date parser only.
     """
-    text = text.cast("string")
+    text = F.regexp_replace(strip(text.cast("string")), _TIME_OF_DAY, "")
     parsed = F.when(
         text.rlike(r"^\d{1,6}$"),
         F.date_add(F.lit(EXCEL_EPOCH).cast("date"), text.try_cast("int")),

@@ -29,8 +29,8 @@ def has_value(text: Column) -> Column:
 
 
 def name_clean(name: Column) -> Column:
-    """Lower-case letters only; digits and punctuation go."""
-    return F.lower(F.regexp_replace(name, "[^A-Za-z]", ""))
+    """Lower-case letters of any script, with their marks; digits, punctuation and spaces go."""
+    return F.lower(F.regexp_replace(name, r"[^\p{L}\p{M}]", ""))
 
 
 def lookup(value: Column, table: Mapping, default=None) -> Column:

@@ -26,7 +26,6 @@ MATCH = [
     "business_day_count", "match_ratio", "reverse_match_ratio",
 ]
 BUCKETS = ["exact", "fuzzy", "unmatched", "no_demo"]
-_LONGEST_CHECKED = 1000
 
 
 @dataclass(frozen=True)
@@ -117,21 +116,20 @@ def edits_allowed(length: Column, threshold: int) -> Column:
     return F.floor(length * (100 - threshold) / 100 + 1e-9).cast("int")
 
 
-def _most_edits(length: Column | int, threshold: int):
+def _most_edits(length: Column, threshold: int) -> Column:
     """The same, over every partner length that can still reach the threshold."""
-    if isinstance(length, int):
-        return length * (100 - threshold) // threshold
     return F.floor(length * (100 - threshold) / threshold + 1e-9).cast("int")
 
 
 def piece_length(threshold: int) -> int:
-    """Longest piece such that every name has one more piece than it can have edits; 0 if none."""
-    for size in range(8, 0, -1):
-        if threshold > 50 and all(
-            -(-n // size) > _most_edits(n, threshold) for n in range(1, _LONGEST_CHECKED)
-        ):
-            return size
-    return 0
+    """Longest piece such that every name has one more piece than it can have edits; 0 if none.
+
+    A name of n letters has at least n / size pieces and at most n * (100 - t) / t edits, so
+    size * (100 - t) < t is enough at every length.
+    """
+    if threshold <= 50:
+        return 0
+    return next(size for size in range(8, 0, -1) if size * (100 - threshold) < threshold)
 
 
 def _padded_piece(text: Column, start: Column, size: int) -> Column:
@@ -194,28 +192,23 @@ def _probe(persons: DataFrame, link: LinkConfig) -> DataFrame:
 
 
 def exact_pairs(persons: DataFrame, refs: DataFrame, link: LinkConfig) -> DataFrame:
-    """Each person with the references of the same full name and birth date within the date
-    window, or once without any."""
-    right = refs.select(
-        "*", _full("first_name_clean_right", "last_name_clean_right").alias("full"),
-        F.explode(_near_slots(F.col("reference_collection_date"), link.day_window)).alias("slot"))
+    """Each person with the references of the same first name, last name and birth date within
+    the date window, or once without any."""
+    right = refs.select("*", F.explode(
+        _near_slots(F.col("reference_collection_date"), link.day_window)).alias("slot"))
     left = _probe(persons, link).alias("l")
     right = right.alias("r")
-    same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("ref_dob", "full", "slot")]
+    same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("ref_dob", "slot")]
+    same += [F.col(c) == F.col(f"{c}_right") for c in ("first_name_clean", "last_name_clean")]
     return left.join(right, [*same, _in_window(link.day_window)], "left").drop(
         "full", "slot", "ref_dob")
 
 
-def similar_pairs(persons: DataFrame, refs: DataFrame, link: LinkConfig,
-                  settled: Column | None = None) -> DataFrame:
-    """Each person with the references at or above the threshold in either name order, or
-    without any; pairs may repeat. ``settled`` persons are kept but not compared."""
+def similar_pairs(persons: DataFrame, refs: DataFrame, link: LinkConfig) -> DataFrame:
+    """Pairs of a person and a reference at or above the threshold in either name order; pairs
+    may repeat. An inner join, so a birth date that many share may be split on either side."""
     size, t = piece_length(link.threshold), link.threshold
-    pieces = _all_pieces(F.col("full"), size)
-    if settled is not None:
-        pieces = F.when(~settled, pieces)
-    left = _probe(persons, link)
-    left = left.select("*", F.inline_outer(pieces))
+    left = _probe(persons.select(*PERSON), link).select("*", F.inline(_all_pieces(F.col("full"), size)))
     right = refs.select(
         "*", F.explode(F.array_distinct(F.array(
             _full("first_name_clean_right", "last_name_clean_right"),
@@ -231,14 +224,14 @@ def similar_pairs(persons: DataFrame, refs: DataFrame, link: LinkConfig,
         F.abs(F.col("at") - F.col("ref_at")) <= edits,
         F.call_function("levenshtein", F.col("full"), F.col("ref_full"), edits) >= 0,
     ]
-    return left.alias("l").join(right.alias("r"), [*same, *close], "left").drop(
+    return left.alias("l").join(right.alias("r"), [*same, *close]).drop(
         "full", "ref_full", "slot", "ref_dob", "piece", "at", "ref_at")
 
 
 def candidates(persons: DataFrame, refs: DataFrame, link: LinkConfig) -> DataFrame:
     """Distinct pairs of demographics at or above the threshold, with their scores."""
     pairs = similar_pairs(persons.select(*PERSON).distinct(), refs, link)
-    return _scored(pairs.filter(F.col("CASE_ID").isNotNull())).select(*PERSON, *MATCH).distinct()
+    return _scored(pairs).select(*PERSON, *MATCH).distinct()
 
 
 def _scored(pairs: DataFrame) -> DataFrame:
@@ -271,24 +264,24 @@ def _rank() -> Column:
 def link_persons(persons: DataFrame, refs: DataFrame, link: LinkConfig) -> DataFrame:
     """One row per distinct person that has a case at or above the threshold.
 
-    An equal name outranks every other candidate, so persons with one pass through the second
-    join uncompared. All aggregates ignore repeated pairs.
+    Persons with a reference of equal names are settled by it; the others are compared. All
+    aggregates ignore repeated pairs.
     """
     persons = persons.filter(complete()).select(*PERSON).distinct()
     by_name = (
         _scored(exact_pairs(persons, refs, link)).groupBy(*PERSON)
-        .agg(F.min(_rank()).alias("same_name"),
+        .agg(F.min(_rank()).alias("best"),
              (F.min("CASE_ID") == F.max("last_case_id")).alias("one_case"))
     )
-    settled = F.col("same_name").isNotNull()
-    pairs = similar_pairs(by_name, refs, link, settled).filter(settled | F.col("CASE_ID").isNotNull())
-    return (
-        _scored(pairs).groupBy(*PERSON)
-        .agg(F.min(F.coalesce(F.col("same_name"), _rank())).alias("best"),
-             F.max("one_case").alias("one_case"))
-        .select(*PERSON, *[F.col(f"best.{c}").alias(c) for c in MATCH],
-                F.when(F.col("one_case"), "exact").otherwise("fuzzy").alias("bucket"))
+    settled = by_name.filter(F.col("best").isNotNull())
+    others = by_name.filter(F.col("best").isNull())
+    compared = (
+        _scored(similar_pairs(others, refs, link)).groupBy(*PERSON).agg(F.min(_rank()).alias("best"))
+        .withColumn("one_case", F.lit(False))
     )
+    return settled.unionByName(compared).select(
+        *PERSON, *[F.col(f"best.{c}").alias(c) for c in MATCH],
+        F.when(F.col("one_case"), "exact").otherwise("fuzzy").alias("bucket"))
 
 
 @dataclass(frozen=True)
@@ -326,7 +319,7 @@ def demographic_link(src: DataFrame, ref: DataFrame, link: LinkConfig | None = N
                      hot: HotKeys | None = None) -> LinkResult:
     """Link source rows (one per submission) to registry cases.
 
-    Buckets: ``exact`` (equal name, one case), ``fuzzy`` (at or above the threshold, for human
+    Buckets: ``exact`` (both names equal, one case), ``fuzzy`` (at or above the threshold, for human
     review; includes equal names shared by several cases), ``unmatched`` and ``no_demo``.
     """
     link = link or LinkConfig()

@@ -11,6 +11,7 @@ from casebind import settings as S
 from casebind.functions import flags
 from casebind.functions.text import occurs
 from casebind.operators.frames import columns_matching, keep_one, quote, union_diagonal
+from casebind.operators.history import not_yet_rostered
 from casebind.operators.skew import HotKeys, lookup_join
 
 KEY = "submission_number"
@@ -68,13 +69,16 @@ def subtype_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def with_history_and_subtypes(df: DataFrame, rostered: DataFrame,
-                              hot: HotKeys | None = None) -> DataFrame:
-    """Drop rostered submissions and add ``qa_multiple_subtypes``, with one shuffle of ``df``.
+def with_history_and_subtypes(df: DataFrame, rostered: DataFrame, hot: HotKeys | None = None,
+                              by_date: bool = False) -> DataFrame:
+    """Drop rostered submissions and add ``qa_multiple_subtypes``.
 
-    Both facts are per submission, so they are aggregated into one lookup first. A submission
-    has several subtypes exactly when its least and greatest code differ.
+    Both facts are per submission, so they are aggregated into one lookup first: a narrow shuffle
+    of the codes and one of ``df``. A submission has several subtypes exactly when its least and
+    greatest code differ. ``by_date`` drops only the rows of a rostered collection date.
     """
+    if by_date:
+        df, rostered = not_yet_rostered(df, rostered, with_date=True), rostered.limit(0)
     code = _subtype_code("WDRS_RESULT_SUMMARY", "TEST_RESULT", "WDRS_RESULT")
     done = rostered.filter(F.col("CASE_ID").isNotNull()).select(KEY, F.lit(True).alias("done"))
     facts = (

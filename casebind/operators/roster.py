@@ -87,8 +87,11 @@ def dedup_roster(roster: DataFrame, ref: DataFrame) -> DataFrame:
 def dedup_roster_row_wise(roster: DataFrame, ref: DataFrame) -> DataFrame:
     """The rule as first written: compares the (blank) roster label, and one registry row that
     differs is enough to keep a roster row."""
-    known = _registry_labs(ref)
-    same = (strip(F.col("TEST_RESULT")) == F.col("known_label")) & (
+    # a row goes only if its case has one registry row and that one is the same
+    known = _registry_labs(ref).groupBy("CaseID").agg(
+        F.count("*").alias("n"), F.first("known_label").alias("known_label"),
+        F.first("known_date").alias("known_date"))
+    same = (F.col("n") == 1) & (strip(F.col("TEST_RESULT")) == F.col("known_label")) & (
         F.col("SPECIMEN_COLLECTION_DTTM") == F.col("known_date"))
     return (
         roster.join(known, "CaseID", "left")

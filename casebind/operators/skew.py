@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 1000
+_SKETCH_LIMIT = 1_000_000  # items that the sketch function can follow
 _SALT, _HOT_KEY, _FAN = "_salt", "_hot_key", "_fan"
 
 HotKeys = list[tuple[int, int]]
@@ -25,12 +25,12 @@ def _shuffle_width(df: DataFrame) -> int:
 def hot_keys(df: DataFrame, on: Sequence[str]) -> HotKeys:
     """Hashes of the keys that overfill a shuffle partition, and how many each should fill.
 
-    One scan of the key columns with a mergeable frequent-items sketch: no shuffle of rows,
-    and at most ``MAX_HOT_KEYS`` numbers come back. The estimate only decides how rows are
-    spread, never which rows join.
+    One scan of the key columns with a mergeable frequent-items sketch: no shuffle of rows.
+    No more keys than the shuffle has partitions can overfill one, so that many numbers come back
+    at most. The estimate only decides how rows are spread, never which rows join.
     """
     width = _shuffle_width(df)
-    items = min(width, MAX_HOT_KEYS)
+    items = min(width, _SKETCH_LIMIT // 20)
     row = (
         df.select(_key_hash(on).alias("h"),
                   reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on]).alias("no_key"))
@@ -43,6 +43,17 @@ def hot_keys(df: DataFrame, on: Sequence[str]) -> HotKeys:
     return [(item, fan) for item, fan in shares if fan > 1]
 
 
+def same_types(a: DataFrame, b: DataFrame, on: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both frames with their keys in the type that an equality of the two compares in.
+
+    Equal values of different types have different hashes, so keys must agree before hashing.
+    """
+    wide = a.select(*on).limit(0).union(b.select(*on).limit(0)).schema
+    return tuple(
+        df.withColumns({f.name: F.col(f"`{f.name}`").cast(f.dataType) for f in wide.fields
+                        if df.schema[f.name].dataType != f.dataType}) for df in (a, b))
+
+
 def lookup_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left",
                 hot: HotKeys | None = None) -> DataFrame:
     """Join many ``facts`` rows to few ``lookup`` rows per key, with hot keys spread out.
@@ -52,8 +63,13 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str
     its lookup rows are repeated; rows with a null key match nothing and are spread as well. The
     salt depends on the row and its input partition alone, so a task that is run again after a
     lost executor makes the same one. Without hot or null keys this is a plain join.
+
+    Keys of unequal types are compared, and returned, in their common type; ``hot`` then must
+    come from facts whose keys have it, and is looked for anew if they have not.
     """
-    if hot is None:
+    given = [facts.schema[c].dataType for c in on]
+    facts, lookup = same_types(facts, lookup, on)
+    if hot is None or given != [facts.schema[c].dataType for c in on]:
         hot = hot_keys(facts, on)
     null_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     keeps_null_keys = how in ("left", "left_outer", "left_anti", "anti")
@@ -69,7 +85,7 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str
             f"SELECT * FROM VALUES {rows} AS t({_HOT_KEY}, {_FAN})")
 
         def fanned(df):
-            # at most MAX_HOT_KEYS literal rows
+            # no more literal rows than the shuffle has partitions
             return (df.withColumn(_HOT_KEY, _key_hash(on))
                     .join(F.broadcast(hot_table), _HOT_KEY, "left").drop(_HOT_KEY))
 

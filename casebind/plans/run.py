@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import datetime as dt
+import uuid
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casebind import settings as S
 from casebind.operators import forms as form_ops
 from casebind.operators.frames import union_diagonal
 from casebind.plans import stages
@@ -34,19 +37,27 @@ class RunResult:
     again: MatchResult
     reviews: ReviewResult
     roster: DataFrame
+    run_id: str = field(default_factory=lambda: f"{dt.datetime.now():%H%M%S}-{uuid.uuid4().hex[:8]}")
+
+    def open_non_matches(self) -> DataFrame:
+        """What no demographics and no record number linked, to be tried again."""
+        linked = self.main.id_matched.select(KEY).distinct()
+        return self.main.bucket("unmatched").join(linked, KEY, "left_anti").withColumn(
+            "match_found", F.lit(False))
 
     def buckets(self) -> dict[str, DataFrame]:
         """The frames that go to ledger tables."""
         return {
             "qa_issues": self.wrangled.issues,
             "received": self.pulled.received,
-            "unmatched": self.main.bucket("unmatched").withColumn("match_found", F.lit(False)),
+            "unmatched": self.open_non_matches(),
             "fuzzy": self.main.bucket("fuzzy"),
             "exact": self.main.bucket("exact"),
             "id_matched": self.main.id_matched,
             "combined_roster": self.main.matched,
             "reviewed": self.reviews.reviewed,
             "no_demo": self.main.bucket("no_demo"),
+            "roster": self.roster,
         }
 
     def review_sheet(self) -> DataFrame:
@@ -60,29 +71,34 @@ class RunResult:
 
 def combine_and_write(result: RunResult, ledger: Ledger, folder: str, forms: DataFrame,
                       config: EngineConfig) -> None:
-    day, hot = config.run_date, result.wrangled.hot
-    sheet = result.review_sheet()
-    outputs.write_review_sheet(sheet, folder, day)
-    ledger.insert_if_absent("manual_review_resp", sheet, KEY, hot)
-    outputs.archive_reviews(result.reviews.sheets, folder, day)
-    outputs.write_roster(result.roster, folder, day)
-    ledgers.route_outputs(ledger, result.buckets(), hot=hot)
+    """Write a run's files, each below its day and run, then its ledgers."""
+    hot, at, sheet = result.wrangled.hot, config.deployment, result.review_sheet()
+    to = outputs.OutputFolder(folder, config.run_date, result.run_id)
+    to.review_sheet(sheet)
+    ledger.insert_if_absent(at.sheets, sheet, KEY, hot)
+    to.review_archive(result.reviews.sheets)
+    to.roster(result.roster)
+    to.form_updates(form_ops.form_updates(result.roster, forms, result.pulled.registry))
+    ledgers.route_outputs(ledger, result.buckets(), at.routes, hot)
+    if at.roster:
+        ledger.insert_if_absent(at.roster, result.roster, S.ROSTER_KEY)
     ledgers.write_rematch(
-        ledger, result.again.bucket("fuzzy"), result.again.bucket("exact"),
-        result.resolved_keys())
-    outputs.write_cumulative_roster(ledger.read("rostered_tbl"), folder, day)
-    outputs.write_form_updates(
-        form_ops.form_updates(result.roster, forms, result.pulled.registry), folder, day)
+        ledger, result.again.bucket("fuzzy"), result.again.matched if at.rematched == at.rostered
+        else result.again.bucket("exact"), result.resolved_keys(), at, hot)
+    to.cumulative_roster(ledger.read(at.rostered))
 
 
 def plan(inputs: Inputs, ledger_tables, config: EngineConfig, stage=staged) -> RunResult:
     """Everything up to the writes; ``ledger_tables`` gives a ledger frame by name."""
-    pulled = stages.pull(inputs.submissions, inputs.wizard, inputs.investigation, config)
-    wrangled = stages.wrangle(pulled, ledger_tables("rostered_tbl"), config, stage)
+    pulled = stages.pull(inputs.submissions, inputs.wizard, inputs.investigation, config, stage)
+    rostered = ledger_tables(config.deployment.rostered)
+    wrangled = stages.wrangle(pulled, rostered, config, stage)
     main = stages.match(pulled, wrangled, config, stage)
-    again = stages.rematch(ledger_tables("no_match_tbl"), pulled, config, stage)
+    again = stages.rematch(
+        ledger_tables(config.deployment.no_match), rostered, pulled, config, stage)
     reviews = stages.review(
-        ledger_tables("fuzzy_matched_review_tbl"), inputs.review_sheets, pulled.registry, config)
+        ledger_tables(config.deployment.reviews), rostered, inputs.review_sheets,
+        pulled.registry, config)
     final = stage(stages.final_roster(main, again, reviews, pulled.registry, config), "roster")
     return RunResult(pulled, wrangled, main, again, reviews, final)
 

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from casebind import settings as S
 from casebind.operators import linkage, mrn, quality, roster
 from casebind.operators.frames import keep_one, union_diagonal
+from casebind.operators.history import not_yet_rostered
 from casebind.operators.linkage import LinkResult
-from casebind.operators.skew import HotKeys, hot_keys
+from casebind.operators.skew import HotKeys, hot_keys, lookup_join
 from casebind.operators.standardize import as_date, standardize
 from casebind.settings import EngineConfig
 from casebind.sources import tables
@@ -69,20 +70,25 @@ class ReviewResult:
 
 
 def pull(submissions: DataFrame, wizard: DataFrame, investigation: DataFrame,
-         config: EngineConfig) -> PullResult:
-    receipt = tables.raw_receipt(submissions, config.primary_key, config.run_date)
+         config: EngineConfig, stage: Stage = unstaged) -> PullResult:
+    """The sources, each read once when staged: later stages all see the same rows."""
+    if config.cutoff is not None:
+        submissions = tables.submissions_since(submissions, config.cutoff)
+    if config.case_code is not None:
+        wizard = tables.cases_by_code(wizard, config.case_code)
+    receipt = tables.raw_receipt(stage(submissions, "raw"), config.primary_key, config.run_date)
     return PullResult(
         submissions=tables.receipt_unnest(receipt),
         received=tables.receipt_as_json(receipt),
-        registry=tables.ref_assemble(wizard, investigation),
+        registry=stage(tables.ref_assemble(wizard, investigation), "registry"),
     )
 
 
 def wrangle(pulled: PullResult, rostered: DataFrame, config: EngineConfig,
             stage: Stage = unstaged) -> WrangleResult:
-    raw = pulled.submissions
-    hot = hot_keys(raw, [KEY])
-    new = quality.with_history_and_subtypes(standardize(raw), rostered, hot)
+    standard = stage(standardize(pulled.submissions), "standardized")
+    hot = hot_keys(standard, [KEY])
+    new = quality.with_history_and_subtypes(standard, rostered, hot, config.history_by_date)
     checked = stage(quality.add_flags(new, config.strict_dob_rule), "checked")
     split = quality.split_clean_and_issues(checked)
     to_link = stage(quality.link_input(split.clean), "to_link")
@@ -95,10 +101,14 @@ def _hot_people(raw: DataFrame) -> HotKeys:
     return hot_keys(linkage.people(dated), linkage.PERSON)
 
 
-def match(pulled: PullResult, wrangled: WrangleResult, config: EngineConfig,
-          stage: Stage = unstaged) -> MatchResult:
+def require_submissions(pulled: PullResult) -> None:
     if pulled.submissions.isEmpty():
         raise ValueError("there are no submissions to match")
+
+
+def match(pulled: PullResult, wrangled: WrangleResult, config: EngineConfig,
+          stage: Stage = unstaged) -> MatchResult:
+    require_submissions(pulled)
     link = linkage.demographic_link(
         wrangled.to_link, pulled.registry, config.link,
         carry=["internal_create_date", *mrn.ID_FIELDS], hot=_hot_people(pulled.submissions))
@@ -114,10 +124,11 @@ def match(pulled: PullResult, wrangled: WrangleResult, config: EngineConfig,
     return MatchResult(link, linked, stage(by_id, "id_matched"))
 
 
-def rematch(no_match: DataFrame, pulled: PullResult, config: EngineConfig,
+def rematch(no_match: DataFrame, rostered: DataFrame, pulled: PullResult, config: EngineConfig,
             stage: Stage = unstaged) -> MatchResult:
-    """Try the open non-matches of earlier runs against today's registry."""
-    history = tables.open_non_matches(no_match)
+    """Try the open non-matches of earlier runs, but those rostered since, against today's
+    registry."""
+    history = not_yet_rostered(tables.open_non_matches(no_match), rostered)
     hot = hot_keys(history, [KEY])
     people = stage(
         keep_one(history.select(KEY, "internal_create_date", *linkage.PERSON), [KEY]), "rematch_input")
@@ -136,13 +147,15 @@ def rematch(no_match: DataFrame, pulled: PullResult, config: EngineConfig,
 
 
 def review_merge(review_ledger: DataFrame, sheets: DataFrame) -> DataFrame:
-    """Review ledger rows whose submission came back reviewed."""
-    return review_ledger.join(sheets.select(KEY), KEY, "inner").select(*review_ledger.columns)
+    """Review ledger rows whose submission came back reviewed, on however many sheets."""
+    return lookup_join(review_ledger, sheets.select(KEY).distinct(), [KEY], "inner").select(
+        *review_ledger.columns)
 
 
-def review(review_ledger: DataFrame, sheets: DataFrame, registry: DataFrame,
-           config: EngineConfig) -> ReviewResult:
-    reviewed = review_merge(review_ledger, sheets)
+def review(review_ledger: DataFrame, rostered: DataFrame, sheets: DataFrame,
+           registry: DataFrame, config: EngineConfig) -> ReviewResult:
+    """A sheet that stays where it was read from is rostered once only."""
+    reviewed = review_merge(not_yet_rostered(review_ledger, rostered), sheets)
     rows = roster.create_roster(reviewed, registry, config.run_date)
     return ReviewResult(sheets, reviewed, roster.not_in_registry(rows, registry))
 

@@ -169,10 +169,10 @@ ROSTER_BLANKS = ["SPECIMEN_TYPE", "SPECIMEN_SOURCE_SITE", "TEST_PERFORMED_DESC",
 
 _DATE_COLUMNS = {
     "SPECIMEN_COLLECTION_DTTM", "SPECIMEN_RECEIVED_DTTM", "internal_create_date",
-    "submitted_dob", "submitted_collection_date", "reference_collection_date",
+    "submitted_dob", "submitted_collection_date", "reference_collection_date", "DOB",
 }
 _OTHER_TYPES = {
-    "CASE_ID": "bigint", "business_day_count": "bigint", "match_ratio": "double",
+    "CASE_ID": "bigint", "CaseID": "bigint", "business_day_count": "bigint", "match_ratio": "double",
     "reverse_match_ratio": "double", "match_found": "boolean", "good_match": "boolean",
     "resolved": "boolean",
 }
@@ -186,7 +186,7 @@ def _column_type(name: str) -> str:
 
 def schema_for(columns: list[str]) -> str:
     """DDL for ledger columns, typed by name."""
-    return ", ".join(f"{name} {_column_type(name)}" for name in columns)
+    return ", ".join(f"`{name}` {_column_type(name)}" for name in columns)
 
 
 _KEY = ["submission_number", "internal_create_date"]
@@ -240,9 +240,35 @@ CATALOG_SCHEMAS = {
     "fuzzy_matched_resp": LEDGER_SCHEMAS["fuzzy_matched_review_tbl"],
     "no_demo_resp": LEDGER_SCHEMAS["fuzzy_without_demo_tbl"],
     "exact_matched_resp": LEDGER_SCHEMAS["rostered_tbl"],
+    "fuzzy_review_resp": LEDGER_SCHEMAS["manual_review_resp"],
+    "roster_resp": schema_for(ROSTER_COLUMNS),
 }
 
 
+@dataclass(frozen=True)
+class Deployment:
+    """The ledger tables of a deployment: where buckets go, and which ones later runs read."""
+
+    routes: tuple[tuple[str, str], ...]
+    rostered: str
+    no_match: str
+    reviews: str
+    rematched: str
+    sheets: str
+    roster: str | None = None  # keyed on ROSTER_KEY
+
+
+PACKAGE = Deployment(
+    tuple(PACKAGE_ROUTES), rostered="rostered_tbl", no_match="no_match_tbl",
+    reviews="fuzzy_matched_review_tbl", rematched="fuzzy_matched_roster_tbl",
+    sheets="manual_review_resp")
+# record-number and reviewed matches have no table of their own there and join the exact ones
+CATALOG = Deployment(
+    (*CATALOG_ROUTES, ("id_matched", "exact_matched_resp"), ("reviewed", "exact_matched_resp")),
+    rostered="exact_matched_resp", no_match="unmatched_resp", reviews="fuzzy_matched_resp",
+    rematched="exact_matched_resp", sheets="fuzzy_review_resp", roster="roster_resp")
+
+
 @dataclass(frozen=True)
 class LinkConfig:
     """Demographic linkage: 100 is an exact name, days count both ways."""
@@ -257,3 +283,7 @@ class EngineConfig:
     link: LinkConfig = field(default_factory=LinkConfig)
     primary_key: str = "PHLAccessionNumber"
     strict_dob_rule: bool = False
+    deployment: Deployment = PACKAGE
+    history_by_date: bool = False  # a rostered submission counts for its collection date only
+    cutoff: str | None = None  # submissions collected after this day
+    case_code: str | None = None

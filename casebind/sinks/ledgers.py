@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from casebind.operators.history import KEY, absent_rows, flag_resolved
 from casebind.operators.frames import union_all
 from casebind.operators.skew import HotKeys
-from casebind.settings import PACKAGE_ROUTES
+from casebind.settings import PACKAGE, PACKAGE_ROUTES, Deployment
 from casebind.sources.ledger import Ledger
 
 Routes = Iterable[tuple[str, str]]
@@ -37,12 +37,12 @@ def routed_rows(targets: Mapping[str, DataFrame], buckets: Mapping[str, DataFram
     return out
 
 
-def write_rematch(ledger: Ledger, review: DataFrame, exact: DataFrame,
-                  resolved: DataFrame) -> None:
+def write_rematch(ledger: Ledger, review: DataFrame, exact: DataFrame, resolved: DataFrame,
+                  at: Deployment = PACKAGE, hot: HotKeys | None = None) -> None:
     """Flag the open non-matches that found a case now, then append the matches.
 
     The flags are written last: a run that dies before them simply tries the rows again.
     """
-    ledger.insert_if_absent("fuzzy_matched_review_tbl", review)
-    ledger.insert_if_absent("fuzzy_matched_roster_tbl", exact)
-    ledger.replace("no_match_tbl", flag_resolved(ledger.read("no_match_tbl"), resolved))
+    ledger.insert_if_absent(at.reviews, review, hot=hot)
+    ledger.insert_if_absent(at.rematched, exact, hot=hot)
+    ledger.replace(at.no_match, flag_resolved(ledger.read(at.no_match), resolved, hot))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,24 +38,30 @@ def write_csv(df: DataFrame, folder: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("header", True).csv(folder)
 
 
-def write_review_sheet(sheet: DataFrame, folder: str, run_date) -> None:
-    write_csv(sheet, f"{folder}/qa/run_date={run_date}", "overwrite")
-
+@dataclass(frozen=True)
+class OutputFolder:
+    """Where a run's files go: below the day and the run, so no run replaces another's."""
 
-def write_roster(roster: DataFrame, folder: str, run_date) -> None:
-    write_csv(roster_text(roster), f"{folder}/subtype_roster/run_date={run_date}", "overwrite")
+    folder: str
+    run_date: dt.date
+    run_id: str
 
+    def path(self, kind: str) -> str:
+        return f"{self.folder}/{kind}/run_date={self.run_date}/run={self.run_id}"
 
-def write_cumulative_roster(rostered: DataFrame, folder: str, run_date) -> None:
-    write_csv(cumulative_roster(rostered),
-              f"{folder}/cumulative_subtype_roster/run_date={run_date}", "overwrite")
+    def review_sheet(self, sheet: DataFrame) -> None:
+        write_csv(sheet, self.path("qa/review"))
 
+    def review_archive(self, sheets: DataFrame) -> None:
+        """Keep the consumed review rows."""
+        write_csv(sheets, self.path("qa/completed_review_archive"))
 
-def archive_reviews(sheets: DataFrame, folder: str, run_date) -> None:
-    """Keep the consumed review rows under the day of the run."""
-    write_csv(sheets, f"{folder}/qa/completed_review_archive/run_date={run_date}", "overwrite")
+    def roster(self, roster: DataFrame) -> None:
+        write_csv(roster_text(roster), self.path("subtype_roster"))
 
+    def cumulative_roster(self, rostered: DataFrame) -> None:
+        write_csv(cumulative_roster(rostered), self.path("cumulative_subtype_roster"))
 
-def write_form_updates(updates: DataFrame, folder: str, run_date) -> None:
-    form_updates_text(updates).write.mode("overwrite").option("ignoreNullFields", False).json(
-        f"{folder}/form_updates/run_date={run_date}")
+    def form_updates(self, updates: DataFrame) -> None:
+        form_updates_text(updates).write.option("ignoreNullFields", False).json(
+            self.path("form_updates"))

@@ -8,6 +8,8 @@ overwritten while it is being read.
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,22 +52,30 @@ class Ledger:
         align_schema(rows, self.schemas[table]).write.parquet(
             f"{self.folder}/{table}/v{number:06d}-{kind}")
 
-    def insert_if_absent(self, table: str, batch: DataFrame, key: str = "submission_number",
+    def insert_if_absent(self, table: str, batch: DataFrame,
+                         key: str | Sequence[str] = "submission_number",
                          hot: HotKeys | None = None) -> None:
         """Append the batch rows whose key the table lacks; running it twice adds nothing."""
-        batch = align_schema(batch, self.schemas[table])
-        self._write(table, absent_rows(batch, self.read(table), [key], hot), "part")
+        batch, keys = align_schema(batch, self.schemas[table]), [key] if isinstance(key, str) else key
+        self._write(table, absent_rows(batch, self.read(table), keys, hot), "part")
 
     def replace(self, table: str, rows: DataFrame) -> None:
         """Make ``rows`` the whole table; they may be derived from the table itself."""
         self._write(table, rows, "full")
 
+    def compact(self, table: str) -> None:
+        """One snapshot instead of many batches: for every so many runs. Older directories stay
+        until someone removes them, as a job may still be reading them."""
+        self.replace(table, self.read(table))
+
 
 class CatalogLedger(Ledger):
     """The same tables in the session catalog, under ``prefix`` (``catalog.schema.``).
 
-    Appends go through ``insertInto``. A replacement is written to a staging table and swapped
-    in from there, as a table cannot be overwritten from itself.
+    Appends go through ``insertInto``. A replacement is written to a staging table and copied
+    in from there, as a table cannot be overwritten from itself. The copy is not atomic: if it
+    dies half-way the whole rows are in the staging table of that replacement, which is dropped
+    only afterwards.
     """
 
     def __init__(self, spark: SparkSession, prefix: str, schemas: dict[str, str] = LEDGER_SCHEMAS):
@@ -86,6 +96,7 @@ class CatalogLedger(Ledger):
         if kind == "part":
             rows.write.insertInto(name)
             return
-        staged = f"{name}_staged"
-        rows.write.mode("overwrite").saveAsTable(staged)
+        staged = f"{name}_staged_{uuid.uuid4().hex[:12]}"
+        rows.write.saveAsTable(staged)
         self.spark.table(staged).write.insertInto(name, overwrite=True)
+        self.spark.sql(f"DROP TABLE {staged}")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from casebind import settings as S
+from casebind.operators.skew import lookup_join, same_types
 
 RECEIPT = "raw_inbound_submission"
 # the review sheet as people send it back
@@ -39,14 +40,20 @@ def ref_assemble(wizard: DataFrame, investigation: DataFrame) -> DataFrame:
     """Every case with each of its labs; cases without a lab stay."""
     clash = [c for c in investigation.columns if c in wizard.columns and c != "CASE_ID"]
     labs = investigation.withColumnsRenamed({c: f"{c}_right" for c in clash})
-    return wizard.join(labs, "CASE_ID", "left").withColumnRenamed(
-        "SPECIMEN__COLLECTION__DTTM", "SPECIMEN_COLLECTION_DTTM")
+    # the labs are the side with many rows a case, so they are the one to spread
+    labs, cases = same_types(labs, wizard, ["CASE_ID"])
+    with_labs = lookup_join(labs, cases, ["CASE_ID"], "inner")
+    without = cases.join(labs.select("CASE_ID").distinct(), "CASE_ID", "left_anti")
+    columns = [*wizard.columns, *(c for c in labs.columns if c != "CASE_ID")]
+    return (with_labs.select(*[f"`{c}`" for c in columns])
+            .unionByName(without, allowMissingColumns=True)
+            .withColumnRenamed("SPECIMEN__COLLECTION__DTTM", "SPECIMEN_COLLECTION_DTTM"))
 
 
 def raw_receipt(df: DataFrame, primary_key: str, run_date: dt.date) -> DataFrame:
     """Each raw row kept whole in one nested column, with its key and the run date."""
     return df.select(
-        F.col(primary_key).alias("submission_number"),
+        F.col(primary_key).cast("string").alias("submission_number"),
         F.lit(run_date).alias("internal_create_date"),
         F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(RECEIPT),
     )

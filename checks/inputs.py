@@ -92,11 +92,12 @@ class Inputs:
 
     @cached_property
     def rematched(self) -> stages.MatchResult:
-        return stages.rematch(self.no_match, self.pulled, CONFIG)
+        return stages.rematch(self.no_match, self.rostered, self.pulled, CONFIG)
 
     @cached_property
     def reviews(self) -> stages.ReviewResult:
-        return stages.review(self.review_ledger, self.sheets, self.registry, CONFIG)
+        return stages.review(
+            self.review_ledger, self.rostered, self.sheets, self.registry, CONFIG)
 
     @cached_property
     def ledgers(self) -> dict[str, DataFrame]:
@@ -109,8 +110,8 @@ class Inputs:
     def whole_run(self) -> run.RunResult:
         """A run as it happens: frames that several outputs read are written once."""
         inputs = run.Inputs(
-            staged(self.submissions, "submissions"), self.fixture("wizard"),
-            self.fixture("investigation"), self.sheets, self.forms)
+            self.submissions, self.fixture("wizard"), self.fixture("investigation"), self.sheets,
+            self.forms)
         return run.plan(inputs, self.ledgers.__getitem__, CONFIG, staged)
 
     @cached_property

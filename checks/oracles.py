@@ -61,7 +61,7 @@ SUBTYPES = ", ".join(map(_q, S.SUBTYPE_CODES))
 
 
 def _clean(x: str) -> str:
-    return f"lower(regexp_replace({x}, '[^A-Za-z]', '', 'g'))"
+    return f"lower(regexp_replace({x}, '[^\\p{{L}}\\p{{M}}]', '', 'g'))"
 
 
 def _weekdays(a: str, b: str) -> str:
@@ -95,16 +95,17 @@ def _link_parts(name: str, people: str, carry: str) -> dict[str, str]:
 SELECT p.submission_number, r.CASE_ID, r.f AS first_name_clean_right, r.l AS last_name_clean_right,
  r.d AS reference_collection_date, {_weekdays('p.submitted_collection_date', 'r.d')} AS business_day_count,
  {_ratio('p.first_name_clean || p.last_name_clean', 'r.f || r.l')} AS match_ratio,
- {_ratio('p.first_name_clean || p.last_name_clean', 'r.l || r.f')} AS reverse_match_ratio
+ {_ratio('p.first_name_clean || p.last_name_clean', 'r.l || r.f')} AS reverse_match_ratio,
+ p.first_name_clean = r.f AND p.last_name_clean = r.l AS same_names
 FROM {people} p JOIN ref_people r ON p.submitted_dob = r.BIRTH_DATE
  AND abs(p.submitted_collection_date - r.d) <= 5
 WHERE {COMPLETE}""",
         f"{name}_good": f"SELECT * FROM {name}_pairs WHERE greatest(match_ratio, reverse_match_ratio) >= 80",
         f"{name}_best": f"""
 SELECT g.*, CASE WHEN n_same = 1 THEN 'exact' ELSE 'fuzzy' END AS bucket FROM (
- SELECT *, row_number() OVER (PARTITION BY submission_number ORDER BY greatest(match_ratio, reverse_match_ratio) DESC,
+ SELECT *, row_number() OVER (PARTITION BY submission_number ORDER BY same_names DESC, greatest(match_ratio, reverse_match_ratio) DESC,
   match_ratio DESC, business_day_count, CASE_ID, reference_collection_date, first_name_clean_right, last_name_clean_right) rn,
-  count(DISTINCT CASE WHEN match_ratio = 100 THEN CASE_ID END) OVER (PARTITION BY submission_number) n_same
+  count(DISTINCT CASE WHEN same_names THEN CASE_ID END) OVER (PARTITION BY submission_number) n_same
  FROM {name}_good) g WHERE rn = 1""",
         f"{name}_link": f"""
 SELECT p.submission_number, {carry} {', '.join('p.' + c.strip() for c in PERSON.split(','))}, {MATCH},
@@ -213,7 +214,7 @@ PARTS |= {
     "registry": """SELECT w.*, v.* EXCLUDE (CASE_ID, SPECIMEN__COLLECTION__DTTM),
  v.SPECIMEN__COLLECTION__DTTM AS SPECIMEN_COLLECTION_DTTM
 FROM wizard w LEFT JOIN investigation v ON w.CASE_ID = v.CASE_ID""",
-    "raw": f"SELECT PHLAccessionNumber AS submission_number, {DAY} AS internal_create_date, * FROM submissions",
+    "raw": f"SELECT CAST(PHLAccessionNumber AS VARCHAR) AS submission_number, {DAY} AS internal_create_date, * FROM submissions",
     "std": f"""
 SELECT * EXCLUDE (PatientBirthDate), CAST(try_strptime(PatientBirthDate, '%m/%d/%Y') AS DATE) AS PatientBirthDate,
  {RESULT} AS WDRS_RESULT, {LABEL} AS TEST_RESULT, {TEST.format("'G_PCR'")} AS WDRS_TEST_PERFORMED,
@@ -260,19 +261,23 @@ FROM main_link l JOIN (SELECT submission_number, {STD} FROM clean) USING (submis
 UNION ALL BY NAME SELECT * FROM main_id_matched""",
     # rematch
     "open_no_match": "SELECT * FROM no_match WHERE match_found = FALSE",
-    "re_people": _first_row("open_no_match", "submission_number", "internal_create_date, " + PERSON,
+    "open_left": "SELECT * FROM open_no_match WHERE submission_number NOT IN (SELECT submission_number FROM rostered)",
+    "re_people": _first_row("open_left", "submission_number", "internal_create_date, " + PERSON,
                             "submission_number, internal_create_date, " + PERSON),
     **_link_parts("re", "re_people", "p.internal_create_date,"),
-    "re_linked": f"SELECT l.*, {STD} FROM re_link l JOIN (SELECT submission_number, {STD} FROM open_no_match) USING (submission_number)",
+    "re_linked": f"SELECT l.*, {STD} FROM re_link l JOIN (SELECT submission_number, {STD} FROM open_left) USING (submission_number)",
     "re_raw": """SELECT DISTINCT submission_number, PatientFirstName, PatientLastName, SubmitterPatientNumber FROM raw
 WHERE SubmitterPatientNumber <> '' AND submission_number IN (
  SELECT submission_number FROM re_link WHERE bucket IN ('unmatched','no_demo'))""",
     "re_ids": f"SELECT DISTINCT submission_number, CASE_ID FROM ({_ids('re_raw')}) JOIN case_mrns USING (MRN)",
-    "re_id_matched": _id_full("re_ids", "open_no_match"),
+    "re_id_matched": _id_full("re_ids", "open_left"),
     "re_matched": """SELECT * EXCLUDE (bucket) FROM re_linked WHERE bucket = 'exact'
 UNION ALL BY NAME SELECT * FROM re_id_matched""",
     # review and rosters
-    "reviewed": "SELECT r.* FROM review_ledger r JOIN (SELECT submission_number FROM sheets) USING (submission_number)",
+    "sheet_merge": "SELECT r.* FROM review_ledger r JOIN (SELECT DISTINCT submission_number FROM sheets) USING (submission_number)",
+    "reviewed": "SELECT * FROM sheet_merge WHERE submission_number NOT IN (SELECT submission_number FROM rostered)",
+    "main_open": """SELECT * EXCLUDE (bucket) FROM main_linked WHERE bucket = 'unmatched'
+ AND submission_number NOT IN (SELECT submission_number FROM main_id_matched)""",
     "ledger_roster": _roster("review_ledger"),
     "reviewed_roster": _dedup(f"({_roster('reviewed')})"),
     "run_matched": "SELECT * FROM main_matched UNION ALL BY NAME SELECT * FROM re_matched",
@@ -366,8 +371,8 @@ FROM (SELECT * FROM rostered UNION ALL BY NAME SELECT submission_number, interna
  WHERE submission_number NOT IN (SELECT submission_number FROM rostered))""",
     "route_outputs": " UNION ALL ".join([
         _absent("issues", "rostered", "qa_tbl"), _absent("raw", "rostered", "received_submissions"),
-        _absent(_main("unmatched"), "no_match", "no_match_tbl"),
-        _absent(_main("unmatched"), "rostered", "fuzzy_matched_none_tbl"),
+        _absent("main_open", "no_match", "no_match_tbl"),
+        _absent("main_open", "rostered", "fuzzy_matched_none_tbl"),
         _absent(_main("fuzzy"), "review_ledger", "fuzzy_matched_review_tbl"),
         _absent("main_id_matched", "rostered", "id_matched"),
         """SELECT 'rostered_tbl' AS ledger, submission_number, count(*) AS new_rows FROM (
@@ -378,7 +383,7 @@ FROM (SELECT * FROM rostered UNION ALL BY NAME SELECT submission_number, interna
     ]),
     "route_outputs_catalog": " UNION ALL ".join([
         _absent("issues", "rostered", "qa_tbl_resp"), _absent("raw", "rostered", "received_submissions_resp"),
-        _absent(_main("unmatched"), "no_match", "unmatched_resp"),
+        _absent("main_open", "no_match", "unmatched_resp"),
         _absent(_main("fuzzy"), "rostered", "fuzzy_matched_resp"),
         _absent(_main("no_demo"), "rostered", "no_demo_resp"),
         _absent(_main("exact"), "rostered", "exact_matched_resp"),
@@ -444,7 +449,7 @@ WHERE contains(WDRS_RESULT_SUMMARY,'G_POSITIVE') AND WDRS_RESULT <> 'RP'""",
     "has_mrn": "SELECT PHLAccessionNumber, SubmitterPatientNumber FROM submissions WHERE SubmitterPatientNumber <> ''",
     "looks_like_id": _ids("raw"),
     "key_present": "SELECT CASE_ID, SPECIMEN_COLLECTION_DTTM FROM registry WHERE SPECIMEN_COLLECTION_DTTM IS NOT NULL",
-    "non_empty_input": "SELECT count(*) > 0 AS has_rows FROM submissions",
+    "non_empty_input": "SELECT count(*) > 0 AS has_rows, FALSE AS empty_has_rows FROM submissions",
     "fuzzy_projection": f"SELECT {FUZZY_INPUT} FROM to_link",
     "qa_multiple_subtypes": f"SELECT submission_number, TRUE AS qa_multiple_subtypes, {STD} FROM std WHERE submission_number IN (SELECT submission_number FROM several)",
     "qa_multiple_subtypes_v1": f"""SELECT submission_number, TRUE AS qa_multiple_subtypes, {STD} FROM std
@@ -462,7 +467,7 @@ WHERE r.submission_number = s.submission_number AND r.submitted_collection_date
     "mrn_join": f"""SELECT DISTINCT submission_number, MRN, CASE_ID FROM ({_ids('raw')}) JOIN case_mrns USING (MRN)""",
     "mrn_recover": """SELECT DISTINCT submission_number, PatientFirstName, PatientLastName, SubmitterPatientNumber FROM raw
 WHERE SubmitterPatientNumber <> '' AND submission_number IN (SELECT submission_number FROM no_match)""",
-    "review_merge": "SELECT * FROM reviewed",
+    "review_merge": "SELECT * FROM sheet_merge",
     "roster_enrich": """SELECT DISTINCT m.CASE_ID AS CaseID, WDRS_PERFORMING_ORG, m.SPECIMEN_COLLECTION_DTTM, SPECIMEN_RECEIVED_DTTM,
  WDRS_SPECIMEN_TYPE, WDRS_SPECIMEN_SOURCE, WDRS_TEST_PERFORMED, WDRS_RESULT, WDRS_RESULT_SUMMARY, SUBMITTER, SUBMITTER_OTHER,
  EXTERNAL_ID AS PARTY_EXTERNAL_ID, FIRST_NAME, MIDDLE_NAME, LAST_NAME, BIRTH_DATE AS DOB
@@ -532,7 +537,7 @@ WHERE NOT coalesce({_strip('x.TEST_RESULT')} = {_strip('g.WDRS__RESULT')}
   AND submission_number NOT IN (SELECT submission_number FROM main_matched))""",
         "submission_number", ", ".join(S.CUMULATIVE_COLUMNS[1:]), ", ".join(S.CUMULATIVE_COLUMNS)),
     "run": " UNION ALL ".join(f"SELECT '{kind}' AS kind, count(*) AS n FROM {part}" for kind, part in {
-        "qa_issues": "issues", "received": "raw", "unmatched": _main("unmatched"), "fuzzy": _main("fuzzy"),
+        "qa_issues": "issues", "received": "raw", "unmatched": "main_open", "fuzzy": _main("fuzzy"),
         "exact": _main("exact"), "id_matched": "main_id_matched", "combined_roster": "main_matched",
         "reviewed": "reviewed", "no_demo": _main("no_demo"), "review_sheet": "sheet", "roster": "run_roster",
         "resolved": "resolved", "form_updates": "run_form_updates"}.items()),

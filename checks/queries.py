@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -157,11 +159,10 @@ def _(i):
 
 @query("review_archive")
 def _(i):
-    path = staging.staging_path(i.spark, "archive")
-    outputs.archive_reviews(i.sheets, path, CONFIG.run_date)
-    return i.spark.read.csv(
-        f"{path}/qa/completed_review_archive/run_date={CONFIG.run_date}", header=True,
-        schema="submission_number string, CASE_ID bigint")
+    to = outputs.OutputFolder(staging.staging_path(i.spark, "archive"), CONFIG.run_date, "1")
+    to.review_archive(i.sheets)
+    return i.spark.read.csv(to.path("qa/completed_review_archive"), header=True,
+                            schema="submission_number string, CASE_ID bigint")
 
 
 @query("form_updates_json")
@@ -326,7 +327,17 @@ def _(i):
 
 @query("non_empty_input")
 def _(i):
-    return i.submissions.agg((F.count("*") > 0).alias("has_rows"))
+    """Whether the guard of the match stage lets the submissions through."""
+    empty = dataclasses.replace(i.pulled, submissions=i.pulled.submissions.filter("false"))
+    decided = []
+    for pulled in (i.pulled, empty):
+        try:
+            stages.require_submissions(pulled)
+            decided.append(True)
+        except ValueError:
+            decided.append(False)
+    return i.submissions.limit(1).select(F.lit(decided[0]).alias("has_rows"),
+                                         F.lit(decided[1]).alias("empty_has_rows"))
 
 
 @query("fuzzy_projection")
@@ -398,7 +409,8 @@ def _(i):
 
 @query("review_merge")
 def _(i):
-    return stages.review_merge(i.review_ledger, i.sheets)
+    # a submission may come back on several sheets
+    return stages.review_merge(i.review_ledger, i.sheets.union(i.sheets))
 
 
 @query("roster_enrich")

@@ -153,3 +153,14 @@ def test_form_codes(spark):
 def test_roster_layout_is_fixed():
     assert len(S.ROSTER_COLUMNS) == 55 and len(set(S.ROSTER_COLUMNS)) == 55
     assert len(S.SUBMITTER_CODES) == 22 and len(S.STANDARD_COLUMNS) == 15
+
+
+def test_dates_with_a_time_or_white_space(spark):
+    day = dt.date(2024, 10, 30)
+    values = ["2024-10-30 00:00:00", "2024-10-30T08:00:00", " 10/30/2024", "10/30/2024 8:05 AM", "45595.0",
+              "45595.75", "2024-10-30T08:00:00.123Z", "2024-10-30", "nonsense 00:00:00"]
+    assert run(spark, values, parse_date) == [day] * 8 + [None]
+
+
+def test_names_keep_letters_of_every_script(spark):
+    assert run(spark, ["José-2", "ИВАН", "李 小龙", "Ångström"], name_clean) == ["josé", "иван", "李小龙", "ångström"]

@@ -39,11 +39,11 @@ def brute(src, ref, threshold, window=5):
             if rdob == dob and rday and abs((rday - day).days) <= window:
                 direct, swapped = score(first + last, rf + rl), score(first + last, rl + rf)
                 if max(direct, swapped) >= threshold - 1e-9:
-                    good.append((-max(direct, swapped), -direct, abs((rday - day).days), case))
+                    good.append(((first, last) == (rf, rl), case))
         if not good:
             out[key] = ("unmatched", None)
             continue
-        same = {g[3] for g in good if g[1] == -100}
+        same = {case for equal, case in good if equal}
         out[key] = ("exact", same.pop()) if len(same) == 1 else ("fuzzy", None)
     return out
 
@@ -111,6 +111,38 @@ def test_buckets(spark):
     assert rows["swap"]["reverse_match_ratio"] == 100
 
 
+def test_names_of_any_script(spark):
+    """Letters stay whatever their script; names that are equal only when glued are not exact."""
+    src = [("acc", "José", "Núñez", DAY, DAY), ("cyr", "Иван", "Петров", DAY, DAY),
+           ("han", "李", "小龙", DAY, DAY), ("glued", "Jo Annlee", "Smith", DAY, DAY),
+           ("glued2", "Jo", "Annlee", DAY, DAY)]
+    ref = [(1, "JOSÉ", "NÚÑEZ", DAY, DAY), (2, "ИВАН", "Петров ", DAY, DAY), (3, "李", "小龙", DAY, DAY),
+           (4, "Joann", "Lee", DAY, DAY)]
+    rows = {r["submission_number"]: (r["bucket"], r["CASE_ID"], r["match_ratio"]) for r in L.demographic_link(
+        spark.createDataFrame(src, SRC), spark.createDataFrame(ref, REF), carry=[]).rows.collect()}
+    assert rows == {"acc": ("exact", 1, 100.0), "cyr": ("exact", 2, 100.0), "han": ("exact", 3, 100.0),
+                    "glued": ("unmatched", None, None), "glued2": ("fuzzy", 4, 100.0)}
+
+
+def test_many_on_one_birth_date(spark):
+    """Thousands of persons and references share a placeholder date: the pairs are still found,
+    through joins that can be split on either side."""
+    letters = F.translate(F.lpad("id", 5, "0"), "0123456789", "abcdefghij")
+    name = F.concat(letters, F.translate(F.reverse(F.lpad("id", 5, "0")), "0123456789", "klmnopqrst"))
+    ref = spark.range(3000).select(
+        F.col("id").alias("CASE_ID"), name.alias("FIRST_NAME"), F.lit("x").alias("LAST_NAME"),
+        F.lit(DAY).alias("BIRTH_DATE"), F.lit(DAY).alias("SPECIMEN_COLLECTION_DTTM"))
+    src = ref.select(
+        F.col("CASE_ID").cast("string").alias("submission_number"),
+        F.concat("FIRST_NAME", F.lit("z")).alias("PatientFirstName"), F.lit("x").alias("PatientLastName"),
+        F.lit(DAY).alias("PatientBirthDate"), F.lit(DAY).alias("SpecimenDateCollected"))
+    linked = L.demographic_link(src, ref, carry=[]).rows
+    assert linked.filter("bucket = 'fuzzy' AND CASE_ID = CAST(submission_number AS BIGINT)").count() == 3000
+    persons = L.people(src, carry=[])
+    pairs = L.similar_pairs(persons, L.reference_people(ref), LinkConfig())
+    assert "LeftOuter" not in plan_of(pairs)
+
+
 def test_copies_do_not_multiply_pairs(spark):
     """A third of both sides is one person: it is still one pair to compare."""
     src = spark.range(3000).select(

@@ -10,6 +10,7 @@ from casebind import settings as S
 from casebind.operators import forms, quality, roster
 from casebind.plans import run as runs
 from casebind.plans import stages
+from casebind.sources.staging import staged
 from casebind.sources.ledger import CatalogLedger, Ledger
 from casebind.sinks import ledgers
 from checks.inputs import CONFIG
@@ -107,11 +108,13 @@ def test_two_runs(spark, inputs, tmp_path):
     assert spark.read.json(f"{folder}/form_updates").count() > 0
     assert spark.read.csv(f"{folder}/subtype_roster", header=True).count() == first.roster.count()
 
-    runs.run(given, ledger, folder, CONFIG, write_data=True)
-    after = counts(ledger)
+    second = runs.run(given, ledger, folder, CONFIG, write_data=True)
     # rostered submissions are not looked at again; everything else is written once only
-    assert {t: n for t, n in after.items() if t != "fuzzy_matched_review_tbl"} == {
-        t: n for t, n in before.items() if t != "fuzzy_matched_review_tbl"}
+    assert counts(ledger) == before
+    assert second.roster.isEmpty()
+    # and the files of the first run of the day are as they were
+    written = spark.read.csv(f"{folder}/subtype_roster", header=True)
+    assert written.filter(F.col("run") == first.run_id).count() == written.count() == first.roster.count()
 
     # one non-match: give its person a registry case
     lost = ledger.read("no_match_tbl").filter(
@@ -135,6 +138,16 @@ def test_two_runs(spark, inputs, tmp_path):
     reviewed = runs.run(dataclasses.replace(given, review_sheets=one), ledger, folder, later, write_data=True)
     assert keys(reviewed.reviews.reviewed) == keys(one)
     assert keys(one) <= keys(ledger.read("rostered_tbl"))
+    # the sheet stays where it is, and is rostered once
+    again = runs.run(dataclasses.replace(given, review_sheets=one.union(one)), ledger, folder, later,
+                     write_data=True)
+    assert again.reviews.roster.isEmpty()
+
+    # batches become one snapshot of the same rows
+    kept = ledger.read("rostered_tbl").count()
+    ledger.compact("rostered_tbl")
+    assert len(ledger.read("rostered_tbl").inputFiles()) > 0
+    assert ledger.read("rostered_tbl").count() == kept
 
 
 def test_catalog_routes(spark, finished, tmp_path):
@@ -145,3 +158,32 @@ def test_catalog_routes(spark, finished, tmp_path):
     assert ledger.read("exact_matched_resp").count() == finished.main.bucket("exact").count()
     assert ledger.read("no_demo_resp").count() == finished.main.bucket("no_demo").count()
     spark.sql("DROP DATABASE routed CASCADE")
+
+
+def test_two_runs_of_the_catalog_deployment(spark, inputs, tmp_path):
+    """Other tables, history by date, and the sources cut to a day and a case code."""
+    spark.sql(f"CREATE DATABASE deployed LOCATION '{tmp_path}/db'")
+    config = dataclasses.replace(CONFIG, deployment=S.CATALOG, history_by_date=True,
+                                 cutoff="1994-01-01")
+    ledger = CatalogLedger(spark, "deployed.", S.CATALOG_SCHEMAS)
+    given = runs.Inputs(inputs.submissions.filter("PHLAccessionNumber < 'WA2'"), inputs.fixture("wizard"),
+                        inputs.fixture("investigation"), inputs.sheets.filter("false"), inputs.forms)
+    first = runs.run(given, ledger, str(tmp_path / "out"), config, write_data=True)
+    before = counts(ledger)
+    assert before["roster_resp"] == first.roster.select(*S.ROSTER_KEY).distinct().count() > 0
+    assert before["fuzzy_review_resp"] and before["exact_matched_resp"] and before["unmatched_resp"]
+    runs.run(given, ledger, str(tmp_path / "out"), config, write_data=True)
+    assert counts(ledger) == before
+    spark.sql("DROP DATABASE deployed CASCADE")
+
+
+def test_sources_are_read_once(spark, inputs, tmp_path):
+    """Every stage after the pull reads what the pull has written."""
+    source = staged(inputs.submissions, "source")
+    given = [source, inputs.fixture("wizard"), inputs.fixture("investigation")]
+    pulled = stages.pull(*given, CONFIG, staged)
+    place = source.inputFiles()[0].rsplit("/", 1)[0]
+    wrangled = stages.wrangle(pulled, inputs.ledgers["rostered_tbl"], CONFIG, staged)
+    main = stages.match(pulled, wrangled, CONFIG, staged)
+    for rows in (pulled.submissions, pulled.received, wrangled.checked, main.matched):
+        assert not any(f.startswith(place) for f in rows.inputFiles())

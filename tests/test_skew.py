@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from casebind.operators.history import absent_rows
 from casebind.operators.skew import hot_keys, lookup_join
+from casebind.sources.tables import ref_assemble
 
 
 @pytest.fixture(scope="module")
@@ -53,3 +55,40 @@ def test_hot_and_null_keys_reach_several_tasks(facts, lookup):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_hot_keys_of_unequal_type(spark, how, kind):
+    """Key 7 on three quarters of the facts, an int there and something else in the lookup."""
+    facts = spark.range(4000).select(
+        F.when(F.col("id") % 4 < 3, 7).otherwise(F.col("id")).cast("int").alias("k"), "id")
+    lookup = spark.range(0, 4000, 7).select(F.col("id").cast(kind).alias("k"), (F.col("id") * 2).alias("v"))
+    plain, spread = facts.join(lookup, ["k"], how), lookup_join(facts, lookup, ["k"], how)
+    same = [F.col("k").cast("string"), *plain.columns[1:]]
+    plain, spread = plain.select(*same), spread.select(*same)
+    assert plain.count() == spread.count()
+    assert spread.exceptAll(plain).count() == 0
+    # hot keys found before the types met are looked for anew
+    again = lookup_join(facts, lookup, ["k"], how, hot_keys(facts, ["k"])).select(*same)
+    assert again.exceptAll(plain).count() == 0 and again.count() == plain.count()
+
+
+def test_rows_absent_from_a_target_of_another_type(spark):
+    batch = spark.range(4000).select(
+        F.when(F.col("id") % 4 < 3, 7).otherwise(F.col("id")).cast("int").alias("submission_number"))
+    target = spark.createDataFrame([("7",)], "submission_number string")
+    assert absent_rows(batch, target).count() == 999  # id 7 is a 7 as well
+
+
+def test_a_case_with_a_third_of_all_labs(spark):
+    wizard = spark.range(1000).select(F.col("id").alias("CASE_ID"), F.lit("x").alias("CODE"))
+    labs = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).cast("int").alias("CASE_ID"),
+        F.col("id").alias("SPECIMEN__COLLECTION__DTTM"), F.lit("y").alias("CODE"))
+    got = ref_assemble(wizard, labs)
+    want = wizard.join(labs.withColumnRenamed("CODE", "CODE_right"), "CASE_ID", "left")
+    assert got.columns == ["CASE_ID", "CODE", "SPECIMEN_COLLECTION_DTTM", "CODE_right"]
+    rows = got.count()
+    assert rows == want.count() and got.distinct().count() == rows
+    assert got.toDF(*want.columns).exceptAll(want).count() == 0
