@@ -14,6 +14,7 @@ from casebind.llm.license_scan import scan_licences
 from casebind.llm.line_dedup import dedup_lines
 from casebind.llm.mixing import mix
 from casebind.llm.ngram_join import near_duplicates
+from casebind.llm.oracles import ORACLES  # noqa: F401
 from casebind.llm.substring_dedup import dedup_substrings
 
 
@@ -24,8 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (dedup_substrings(table(spark, sf_dir, "documents"))
             .select("doc_id", "n_words", "n_removed",
-                    F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
-                    F.size("factors").alias("n_factors")))
+                    F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")))
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +62,8 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return (dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+            .select("doc_id", "text", F.col("n_lines").cast("long"), F.col("n_kept").cast("long")))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,5 +115,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_ngram_join": op10_ngram_join,
 }
-
-ORACLES: dict[str, str] = {}
