@@ -22,6 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casebind.llm.aside import packed, unpacked
 from casebind.llm.arrays import ALPHANUMERIC, Words, bounds, mixed, pieces, shingles, windows, words
 
 SHINGLE, THRESHOLD, HASHES = 5, 0.8, 40
@@ -229,9 +230,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
     if index is None:
         row = F.xxhash64("doc_id", "text")  # rows alike in both share their fate
         found = _shuffled(docs.select(row.alias("doc_id"), "text"), items, threshold)
-        return (docs.withColumn("_row", row)
-                .join(found.select(F.col("doc_id").alias("_row")).distinct(), "_row", "left_anti")
-                .drop("_row"))
+        return (packed(docs, "doc_id", "text", row=row)
+                .join(found.select(F.col("doc_id").alias("row")).distinct(), "row", "left_anti")
+                .select(*unpacked(docs.columns, ("doc_id", "text"))))
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -120,7 +120,8 @@ def compared(docs: DataFrame, edit: str = "half", block_bytes: int = 8 << 20) ->
                           for b, f in zip(own.tolist(), first.tolist(), strict=True)])
 
     own = block_of(starts)
-    rows = (docs.select(sort_id().alias("i"), F.col("text").cast("string").alias("text"))
+    rows = (docs.select(sort_id().alias("i"), F.coalesce(
+        F.col("text").cast("string"), F.lit("")).alias("text"))
             .withColumn("own", own("i")).withColumn("block", F.explode(places("i"))))
 
     def run(table: pa.Table) -> pa.Table:

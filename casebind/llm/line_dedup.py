@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casebind.llm.aside import packed, unpacked
 from casebind.sources.staging import staged
 
 MIN_LENGTH = 10
@@ -124,7 +125,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     repeated lines may stay.
     """
     names = [c for c in docs.columns if c not in ("n_lines", "n_kept")]
-    docs = docs.select(*[f"`{c}`" for c in names])
+    docs = packed(docs.select(*[f"`{c}`" for c in names]), "doc_id", "text")
     texts = docs.select("doc_id", "text")
     lines = staged(_distinct_lines(texts), "lines")
     candidates = staged(_candidates(lines), "line-candidates")
@@ -154,4 +155,4 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
             .withColumn("text", F.array_join(F.transform("_stay", lambda i: F.get(all_lines, i)), "\n"))
             .withColumn("n_lines", F.size(all_lines) - F.col("_empty"))
             .withColumn("n_kept", F.size("_stay") - F.col("_empty"))
-            .select(*[f"`{c}`" for c in names], "n_lines", "n_kept"))
+            .select(*unpacked(names, ("doc_id", "text")), "n_lines", "n_kept"))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from casebind.llm.arrays import SPACED, bounds, mixed, pieces, shingles, words
+from casebind.llm.aside import packed, unpacked
 from casebind.llm.components import components
 from casebind.sources.staging import staged
 
@@ -216,8 +217,7 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     keep = found.where("node = group_id").select("node").distinct()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     node = F.coalesce(F.col("doc_id").cast("long"), -F.abs(F.xxhash64(text) % (1 << 62)))
-    first = Window.partitionBy("_node").orderBy(F.xxhash64(text), F.length(text))
-    names = [f"`{c}`" for c in docs.columns]
-    return (docs.withColumn("_node", node)
-            .join(keep.withColumnRenamed("node", "_node"), "_node")
-            .withColumn("_turn", F.row_number().over(first)).where("_turn = 1").select(*names))
+    first = Window.partitionBy("node").orderBy(F.xxhash64(text), F.length(text))
+    return (packed(docs, "doc_id", "text", node=node).join(keep, "node")
+            .withColumn("turn", F.row_number().over(first)).where("turn = 1")
+            .select(*unpacked(docs.columns, ("doc_id", "text"))))
