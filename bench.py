@@ -47,11 +47,13 @@ def main() -> None:
     def link() -> linkage.LinkResult:
         return linkage.demographic_link(to_link, registry, CONFIG.link, carry=carry)
 
-    def whole_run() -> DataFrame:
-        """Match everything and write every ledger and file, to new folders."""
+    def planned() -> run.RunResult:
         inputs = run.Inputs(submissions, wizard, labs, sheets, form_table)
-        ledger = Ledger(spark, staging_path(spark, "bench-ledger"))
-        result = run.plan(inputs, ledgers.__getitem__, CONFIG, staged)
+        return run.plan(inputs, ledgers.__getitem__, CONFIG, staged)
+
+    def written_run() -> DataFrame:
+        """Match everything and write every ledger and file, to new folders."""
+        result, ledger = planned(), Ledger(spark, staging_path(spark, "bench-ledger"))
         run.combine_and_write(result, ledger, staging_path(spark, "bench-out"), form_table, CONFIG)
         return result.roster
 
@@ -68,7 +70,8 @@ def main() -> None:
         "form_updates": lambda: forms.form_updates(
             roster.create_roster(ledgers["fuzzy_matched_review_tbl"], registry, CONFIG.run_date),
             form_table, registry),
-        "run": whole_run,
+        "run": lambda: planned().roster,
+        "run_written": written_run,
     }
     seconds = {}
     for name, build in queries.items():
