@@ -22,8 +22,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casebind.llm.arrays import ALPHANUMERIC, Words, bounds, mixed, pieces, windows, words
 from casebind.llm.aside import packed, unpacked
-from casebind.llm.arrays import ALPHANUMERIC, Words, bounds, mixed, pieces, shingles, windows, words
 
 SHINGLE, THRESHOLD, HASHES = 5, 0.8, 40
 MAX_INDEX_BYTES = 32 << 20

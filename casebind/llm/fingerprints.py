@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -94,7 +95,7 @@ def fingerprints(docs: DataFrame, column: str = "text") -> DataFrame:
     return docs.select(*[f"`{f.name}`" for f in kept]).mapInArrow(add, schema)
 
 
-def compared(docs: DataFrame, edit: str = "half", block_bytes: int = 8 << 20) -> DataFrame:
+def compared(docs: DataFrame, block_bytes: int = 8 << 20) -> DataFrame:
     """Fingerprints of texts, of edited texts, and their likeness to the next document.
 
     The edited text is the text with its last half (rounded down, in code points) replaced by as
@@ -106,14 +107,11 @@ def compared(docs: DataFrame, edit: str = "half", block_bytes: int = 8 << 20) ->
     Text is shuffled once, by block of consecutive ids; a block also gets the first document of
     the next one, which the driver knows from the block starts.
     """
-    if edit != "half":
-        raise ValueError("the only edit is 'half'")
     starts = block_starts(docs, block_bytes)
     last = len(starts) - 1
 
     @F.pandas_udf("array<int>")
-    def places(ids):
-        import pandas as pd
+    def places(ids: pd.Series) -> pd.Series:
         own = np.searchsorted(starts, ids.to_numpy(), side="right") - 1
         first = np.isin(ids.to_numpy(), starts)
         return pd.Series([[b, (b - 1) % (last + 1)] if f and last else [b]
