@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casebind.llm.aside import packed, unpacked
+
 SOURCE_WEIGHTS = (3, 1, 2)
 SHARE, MAX_EPOCHS = 1.5, 2
 
@@ -59,47 +61,52 @@ def targets(sizes: DataFrame, weights: Sequence[int] = SOURCE_WEIGHTS, share: fl
                 F.col("cap").cast("double")).alias("target")))
 
 
-def mix(docs: DataFrame, quality: Column | None = None,
+def mix(docs: DataFrame, quality: DataFrame | None = None,
         weights: Sequence[int] = SOURCE_WEIGHTS, share: float = SHARE,
         max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """One row per row of ``docs``: its columns, size, source_size, target, epochs and taken.
 
-    ``quality`` weighs documents within their source (null and values of 0 or less: 1; weights
-    of 1 and more spread evenly over the buckets). ``epochs`` is how often a document is in the
+    ``quality`` (doc_id and weight, a row per id) weighs documents within their source (none, null
+    and values of 0 or less: 1; weights of 1 and more spread evenly over the buckets). It is
+    joined after texts are counted, and by a shuffle at every size, as it grows with the
+    documents. ``epochs`` is how often a document is in the
     mix, ``taken`` its words times that. The last document drawn is taken if that brings the
     source nearer to its target. Equal keys (repeated ids) are drawn in the order of id, size and
     a hash of the text. Empty texts have size 0; a source of size 0 has target 0 and nothing
     drawn. A null source is a source. Columns with the names of the new ones are replaced.
     """
-    names = [f"`{c}`" for c in docs.columns
-             if c not in ("size", "source_size", "target", "epochs", "taken")]
-    weight = F.lit(1.0) if quality is None else F.coalesce(quality.cast("double"), F.lit(1.0))
-    weight = F.when(weight > 0, weight).otherwise(1.0)
+    added = ("size", "source_size", "target", "epochs", "taken")
+    names = [c for c in docs.columns if c not in added]
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sized = (docs.withColumns({"size": word_count(F.col("text")),
-                               "_key": -F.ln(uniform(F.col("doc_id"))) / weight,
-                               "_source": F.when(F.col("source").isNull(), "")
-                               .otherwise(F.concat(F.lit("="), F.col("source")))})
+    used = ("doc_id", "text", "source")
+    sized = packed(docs.select(*[f"`{c}`" for c in names]), *used).withColumns(
+        {"size": word_count(F.col("text")), "text_hash": F.xxhash64("text")})
+    weight = F.lit(1.0)
+    if quality is not None:
+        marks = quality.select(F.col("doc_id").alias("marked"), F.col("weight").cast("double").alias("mark"))
+        sized = sized.join(marks.hint("merge"), F.col("doc_id") == F.col("marked"), "left").drop("marked")
+        weight = F.when(F.col("mark") > 0, F.col("mark")).otherwise(1.0)
+    sized = (sized
+             .withColumns({"key": -F.ln(uniform(F.col("doc_id"))) / weight,
+                           "name": F.when(F.col("source").isNull(), "")
+                           .otherwise(F.concat(F.lit("="), F.col("source")))})
              # a growing function of the key that spreads a source over the shuffle
-             .withColumn("_bucket", F.floor(F.lit(width) * (1 - F.exp(-F.col("_key")))).cast("int")))
-    sums = sized.groupBy("_source", "source", "_bucket").agg(F.sum("size").alias("_sum"))
-    of_sources = targets(sums.groupBy("source").agg(F.sum("_sum").alias("source_size")),
+             .withColumn("bucket", F.floor(F.lit(width) * (1 - F.exp(-F.col("key")))).cast("int")))
+    sums = sized.groupBy("name", "source", "bucket").agg(F.sum("size").alias("in_bucket"))
+    of_sources = targets(sums.groupBy("source").agg(F.sum("in_bucket").alias("source_size")),
                          weights, share, max_epochs)
-    starts = (sums.withColumn("_start", F.sum("_sum").over(
-        Window.partitionBy("_source").orderBy("_bucket")) - F.col("_sum"))
-              .join(of_sources.withColumnRenamed("source", "_name"),
-                    F.col("source").eqNullSafe(F.col("_name")))
-              .select("_source", "_bucket", "_start", "source_size", "target"))
+    starts = (sums.withColumn("start", F.sum("in_bucket").over(
+        Window.partitionBy("name").orderBy("bucket")) - F.col("in_bucket"))
+              .join(of_sources.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
+              .select("name", "bucket", "start", "source_size", "target"))
     running = F.sum("size").over(
-        Window.partitionBy("_source", "_bucket")
-        .orderBy("_key", "doc_id", "size", F.xxhash64("text"))
+        Window.partitionBy("name", "bucket").orderBy("key", "doc_id", "size", "text_hash")
         .rowsBetween(Window.unboundedPreceding, 0))
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    rest = F.floor(F.col("target") - F.col("epochs") * F.col("source_size"))
-    drawn = F.least(F.col("size"), F.greatest(F.lit(0), F.col("_rest") - F.col("_end") + F.col("size")))
-    return (sized.drop("source_size", "target", "epochs", "taken")
-            .join(starts, ["_source", "_bucket"])
-            .withColumn("_end", F.col("_start") + running)
-            .withColumn("epochs", full.cast("long")).withColumn("_rest", rest)
+    left = F.floor(F.col("target") - F.col("epochs") * F.col("source_size"))
+    drawn = F.least(F.col("size"), F.greatest(F.lit(0), F.col("left") - F.col("end") + F.col("size")))
+    return (sized.join(starts, ["name", "bucket"])
+            .withColumn("end", F.col("start") + running)
+            .withColumn("epochs", full.cast("long")).withColumn("left", left)
             .withColumn("taken", (F.col("epochs") * F.col("size") + drawn).cast("long"))
-            .select(*names, "size", "source_size", "target", "epochs", "taken"))
+            .select(*unpacked(names, used), *added))

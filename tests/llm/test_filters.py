@@ -274,7 +274,8 @@ def test_targets_against_resharing(spark, sizes):
 
 
 def test_the_mix_comes_to_its_targets(docs, no_docs, rows):
-    out = mixing.mix(docs, F.when(F.col("doc_id") % 2 == 0, 4.0)).collect()
+    marks = docs.select("doc_id", F.when(F.col("doc_id") % 2 == 0, 4.0).alias("weight")).distinct()
+    out = mixing.mix(docs, marks).collect()
     assert len(out) == len(rows) and out[0].asDict().keys() >= {"node", "block", "taken"}
     by = defaultdict(list)
     for r in out:
@@ -284,7 +285,7 @@ def test_the_mix_comes_to_its_targets(docs, no_docs, rows):
     for own in by.values():
         assert abs(sum(r["taken"] for r in own) - own[0]["target"]) < 1
         assert own[0]["source_size"] == sum(r["size"] for r in own)
-    again = mixing.mix(docs.repartition(3), F.when(F.col("doc_id") % 2 == 0, 4.0))
+    again = mixing.mix(docs.repartition(3), marks)
     assert Counter((r["doc_id"], r["text"], r["taken"]) for r in again.collect()) == Counter(
         (r["doc_id"], r["text"], r["taken"]) for r in out)
     assert mixing.mix(no_docs).count() == 0
@@ -292,7 +293,8 @@ def test_the_mix_comes_to_its_targets(docs, no_docs, rows):
 
 def test_heavier_documents_are_drawn_more_often(spark):
     d = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"), F.lit("s").alias("source"))
-    drawn = mixing.mix(d, F.when(F.col("doc_id") % 2 == 0, 3.0).otherwise(1.0), share=0.5).filter("taken > 0")
+    marks = d.select("doc_id", F.when(F.col("doc_id") % 2 == 0, 3.0).otherwise(1.0).alias("weight"))
+    drawn = mixing.mix(d, marks, share=0.5).filter("taken > 0")
     n = {r["k"]: r["count"] for r in drawn.groupBy((F.col("doc_id") % 2).alias("k")).count().collect()}
     assert n[0] + n[1] == 2000 and 1.6 < n[0] / n[1] < 2.6
 
