@@ -29,7 +29,7 @@ from casebind.sources.staging import staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-GOOD, UNKNOWN, POOR = 3.0, 2.0, 1.0
+GOOD, POOR = 3.0, 1.0  # documents without a mark count as poor ones
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,12 +69,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def draw_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    marks = (_table(spark, sf_dir, "labels").where("quality IS NOT NULL")
-             .groupBy(F.col("doc_id").alias("_labelled")).agg(F.avg("quality").alias("_quality")))
-    weighed = docs.join(marks, docs["doc_id"] == F.col("_labelled"), "left").drop("_labelled")
-    weight = (F.when(F.col("_quality").isNull(), UNKNOWN).when(F.col("_quality") > 0.5, GOOD)
-              .otherwise(POOR))
-    return mix(weighed, weight).drop("_quality").where("taken > 0")
+    marks = (_table(spark, sf_dir, "labels").where("quality IS NOT NULL").groupBy("doc_id")
+             .agg(F.when(F.avg("quality") > 0.5, GOOD).otherwise(POOR).alias("weight")))
+    return mix(docs, marks).where("taken > 0")
 
 
 STAGES: list[tuple[str, Stage]] = [
