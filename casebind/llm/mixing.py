@@ -20,6 +20,7 @@ from casebind.llm.aside import packed, unpacked
 
 SOURCE_WEIGHTS = (3, 1, 2)
 SHARE, MAX_EPOCHS = 1.5, 2
+GOOD, POOR = 3.0, 1.0  # documents without a mark count as poor ones
 
 
 def uniform(identity: Column) -> Column:
@@ -33,6 +34,12 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]++")), F.lit(0)).cast("long")
 
 
+def quality_weights(labels: DataFrame) -> DataFrame:
+    """``doc_id`` and ``weight``, a row per marked id: most of its marks say whether it is good."""
+    return (labels.where("quality IS NOT NULL").groupBy("doc_id")
+            .agg(F.when(F.avg("quality") > 0.5, GOOD).otherwise(POOR).alias("weight")))
+
+
 def targets(sizes: DataFrame, weights: Sequence[int] = SOURCE_WEIGHTS, share: float = SHARE,
             max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """``sizes`` (source, source_size) with ``target``.

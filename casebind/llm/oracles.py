@@ -80,6 +80,12 @@ e AS (SELECT z.*, source_size, target,
 SELECT doc_id, size, source_size, target, CAST(epochs * size + least(size, greatest(0,
  floor(target - epochs * source_size) - stop + size)) AS BIGINT) AS taken FROM e"""
 
+OP8_BY_QUALITY = (
+    OP8.replace("WITH z AS", """WITH q AS (SELECT doc_id, CAST(CASE WHEN avg(quality) > 0.5 THEN 3 ELSE 1 END AS DOUBLE) AS weight
+ FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+z AS""").replace("4503599627370496.0) AS key\n FROM documents", """4503599627370496.0) / coalesce(weight, 1) AS key
+ FROM documents LEFT JOIN q USING (doc_id)"""))
+
 OP10 = f"""
 WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 c AS (SELECT text, min(doc_id) AS class_id, count(*) AS n_copies FROM d GROUP BY text),
@@ -97,5 +103,6 @@ FROM d JOIN c USING (text) LEFT JOIN g USING (class_id) LEFT JOIN m USING (class
 
 ORACLES = {
     "op1_substring_dedup": OP1, "op4_chat": OP4, "op5_line_dedup": OP5, "op7_decontamination": OP7,
-    "op8_mixing": OP8, "op10_ngram_join": OP10,
+    "op8_mixing": OP8, "op8_mixing_by_quality": OP8_BY_QUALITY,
+    "op10_ngram_join": OP10,
 }

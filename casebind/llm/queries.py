@@ -12,7 +12,7 @@ from casebind.llm.decontaminate import find_items
 from casebind.llm.fingerprints import compared
 from casebind.llm.license_scan import scan_licences
 from casebind.llm.line_dedup import dedup_lines
-from casebind.llm.mixing import mix
+from casebind.llm.mixing import mix, quality_weights
 from casebind.llm.ngram_join import near_duplicates
 from casebind.llm.oracles import ORACLES  # noqa: F401
 from casebind.llm.substring_dedup import dedup_substrings
@@ -103,6 +103,13 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_mixing_by_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``op8_mixing``, whose twin has all weights equal, with the weights of the labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return (mix(docs, quality_weights(table(spark, sf_dir, "labels")))
+            .select("doc_id", "size", "source_size", "target", "taken"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_fingerprints": op2_fingerprints,
@@ -112,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
     "op8_mixing": op8_mixing,
+    "op8_mixing_by_quality": op8_mixing_by_quality,
     "op9_pii": op9_pii,
     "op10_ngram_join": op10_ngram_join,
 }

@@ -23,14 +23,12 @@ from pyspark.sql import functions as F
 from casebind.llm import toxicity
 from casebind.llm.decontaminate import decontaminate
 from casebind.llm.line_dedup import dedup_lines
-from casebind.llm.mixing import mix
+from casebind.llm.mixing import mix, quality_weights
 from casebind.llm.ngram_join import one_of_each
 from casebind.sources.staging import staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-GOOD, POOR = 3.0, 1.0  # documents without a mark count as poor ones
-
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -69,9 +67,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def draw_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    marks = (_table(spark, sf_dir, "labels").where("quality IS NOT NULL").groupBy("doc_id")
-             .agg(F.when(F.avg("quality") > 0.5, GOOD).otherwise(POOR).alias("weight")))
-    return mix(docs, marks).where("taken > 0")
+    return mix(docs, quality_weights(_table(spark, sf_dir, "labels"))).where("taken > 0")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -299,6 +299,31 @@ def test_heavier_documents_are_drawn_more_often(spark):
     assert n[0] + n[1] == 2000 and 1.6 < n[0] / n[1] < 2.6
 
 
+def test_the_query_by_quality_uses_the_marks(spark, tmp_path):
+    import duckdb
+
+    from casebind.llm.queries import ORACLES, QUERIES
+    rng = random.Random(5)
+    (spark.createDataFrame([(i, "w " * rng.randrange(1, 9), f"s{i % 3}") for i in range(900)],
+                           "doc_id bigint, text string, source string")
+     .coalesce(1).write.parquet(f"{tmp_path}/documents.parquet"))
+    # good, poor, without a mark, and marked several times
+    marks = [(i, q, 0) for i in range(900) for q in ([1], [0], [None], [1, 1, 0])[i % 4]]
+    (spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int")
+     .coalesce(1).write.parquet(f"{tmp_path}/labels.parquet"))
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    taken = {}
+    for name in ("op8_mixing", "op8_mixing_by_quality"):
+        ours = QUERIES[name](spark, str(tmp_path)).collect()
+        taken[name] = {r["doc_id"]: r["taken"] for r in ours}
+        assert taken[name] == {r[0]: r[4] for r in con.execute(ORACLES[name]).fetchall()}
+    extra = {k: sum(taken["op8_mixing_by_quality"][i] - taken["op8_mixing"][i] for i in range(900) if i % 4 in k)
+             for k in ((0, 3), (1, 2))}
+    assert extra[0, 3] > 100 and extra[1, 2] < -100
+
+
 # ---- personal data -------------------------------------------------------------------------
 
 RULES = {
