@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casebind.llm.arrays import ALPHANUMERIC, SPACED, hashed, pieces, text_bytes, words
+from casebind.llm.arrays import ALPHANUMERIC, SPACED, Words, hashed, pieces, text_bytes, words
 from casebind.sources.staging import staged
 
 MAX_ROWS, MAX_MARKERS, MIN_TOXIC = 20_000, 4_000, 4
@@ -140,7 +140,7 @@ def restored(w, first: int, last: int, odd: np.ndarray, single: np.ndarray,
     out = []
     raw = w.data
     for i in np.flatnonzero(odd[first:last]) + first:
-        token = _STRIPPED.sub("", raw[w.start[i]:w.end[i]].tobytes().decode("utf8", "replace")).lower()
+        token = _STRIPPED.sub("", raw[w.start[i]:w.end[i]].tobytes().decode("utf8", "replace"))
         if _ODD.search(token):
             out.append(decode(token))
     at = np.flatnonzero(single[first:last]) + first
@@ -148,7 +148,7 @@ def restored(w, first: int, last: int, odd: np.ndarray, single: np.ndarray,
         for group in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1):
             if len(group) > 2:
                 letters = raw[w.start[group[0]]:w.end[group[-1]]].tobytes().decode("utf8", "replace")
-                out.append(decode(re.sub(r"\s+", "", letters).lower()))
+                out.append(decode(re.sub(r"\s+", "", letters)))
     return out
 
 
@@ -173,6 +173,30 @@ def features(words_: set[str]) -> set[str]:
     return out
 
 
+def lowered(texts: pa.Array | pa.ChunkedArray) -> pa.Array | pa.ChunkedArray:
+    """Texts in lower case, alike in training and scoring; bytes that are not UTF-8 are replaced."""
+    try:
+        return pa.compute.utf8_lower(texts)
+    except pa.ArrowInvalid:
+        return pa.compute.utf8_lower(pa.array(
+            [t if t is None else t.decode("utf8", "replace") for t in texts.cast(pa.large_binary()).to_pylist()],
+            pa.large_string()))
+
+
+class Characters:
+    """Where the characters of some UTF-8 bytes begin."""
+
+    def __init__(self, data: np.ndarray):
+        first = (data & 0xC0) != 0x80
+        self.at = np.concatenate([np.flatnonzero(first), [len(data)]])
+        self.before = np.concatenate([[0], np.cumsum(first)])
+
+    def beginnings(self, w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Words of more than ``n`` characters, and where the first ``n`` of each end."""
+        rows = np.flatnonzero(self.before[w.end] - self.before[w.start] > n)
+        return rows, self.at[self.before[w.start[rows]] + n]
+
+
 def character_counts(docs: DataFrame) -> np.ndarray:
     """Trigram counts of character classes over all texts."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,23 +262,27 @@ class Model:
 
 def _evidence(texts: pa.Array, model: Model, decode, lookup) -> np.ndarray:
     """Per text: largest marker weight, sum of the distinct markers' weights, their number."""
-    w = words(texts, ALPHANUMERIC, lower=True)
+    texts = lowered(texts)
+    w = words(texts, ALPHANUMERIC)
     n = len(w.first) - 1
     spaced = words(texts, SPACED)
     odd, single = _suspects(spaced.data, spaced.start, spaced.end), _singles(spaced)
     fixed = [restored(spaced, spaced.first[d], spaced.first[d + 1], odd, single, decode)
              for d in range(n)]
-    extra = words(pa.array([" ".join(f) for f in fixed], pa.large_string()), ALPHANUMERIC, lower=True)
+    extra = words(pa.array([" ".join(f) for f in fixed], pa.large_string()), ALPHANUMERIC)
     whole, whole_weight, begin, begin_weight = lookup
     doc, key, weight = [], [], []
     for v in (w, extra):
-        size = v.end - v.start
+        characters = Characters(v.data)
         for table, weights, cuts in ((whole, whole_weight, (None,)), (begin, begin_weight, PREFIXES)):
             if not len(table):
                 continue
             for cut in cuts:
-                rows = np.arange(len(size)) if cut is None else np.flatnonzero(size > cut)
-                h = v.hash if cut is None else hashed(v.data, v.start[rows], v.start[rows] + cut)
+                if cut is None:
+                    rows, h = np.arange(len(v.start)), v.hash
+                else:
+                    rows, stop = characters.beginnings(v, cut)
+                    h = hashed(v.data, v.start[rows], stop)
                 spot = np.minimum(np.searchsorted(table, h), len(table) - 1)
                 hit = np.flatnonzero(table[spot] == h)
                 doc.append(v.doc[rows[hit]])
@@ -318,12 +346,13 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
                 ["f", "clean0", "toxic0", "clean1", "toxic1"])
 
         for batch in batches:
-            for text, toxic, h in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "h")),
+            for text, toxic, h in zip(lowered(batch.column("text")).to_pylist(),
+                                      *(batch.column(c).to_pylist() for c in ("toxic", "h")),
                                       strict=True):
                 if hash(text) in seen:  # copies count once
                     continue
                 seen.add(hash(text))
-                for f in {"", *features(set(_WORD.findall((text or "").lower())))}:
+                for f in {"", *features(set(_WORD.findall(text or "")))}:
                     total.setdefault(f, [0, 0, 0, 0])[2 * (h % 2) + toxic] += 1
                 if len(total) > _HELD:
                     yield emitted()

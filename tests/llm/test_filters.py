@@ -194,6 +194,20 @@ def test_toxicity_without_labels(spark, toxic_world, no_docs):
     assert toxicity.score(texts, model).count() == 700
 
 
+def test_marker_beginnings_are_cut_by_characters():
+    markers = ["réeu*", "réeuxa*", "éêàüöñ*", "дура*", "дурачь*", "été"]
+    model = toxicity.Model(toxicity.np.zeros(28 ** 3), dict.fromkeys(markers, 5.0), toxicity.np.zeros(4))
+    found = {"réeuxati": 2, "RÉEUXATI": 2, "Réeux": 1, "réeu": 0, "éêàüöñu": 1, "ÉÊÀÜÖÑU": 1, "éêàüöñ": 0,
+             "ДУРАЧЬЁ": 2, "дурак": 1, "дура": 0, "ÉTÉ": 1, "x réeuxab, Été.": 3, "": 0}
+    texts = toxicity.pa.array([*found, None], toxicity.pa.string())
+    evidence = toxicity._evidence(texts, model, model.decoder(), model.table())
+    assert dict(zip(found, evidence[:, 2], strict=False)) == found and evidence[-1, 2] == 0
+    # bytes that are not UTF-8 do not stop a task
+    raw = toxicity.pa.array([b"\xff R\xc3\x89EUXATI"])
+    broken = toxicity.pa.Array.from_buffers(toxicity.pa.string(), 1, raw.buffers())
+    assert toxicity._evidence(broken, model, model.decoder(), model.table())[0, 2] == 2
+
+
 # ---- decontamination -----------------------------------------------------------------------
 
 def tokens(text):
