@@ -98,7 +98,7 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     for run in re.finditer(r"(.)\1*", token, re.S):
         char, n = run.group(1), len(run.group(0))
         if char in LOOKALIKES:
-            options = [(x, _SWAPPED) for x in LOOKALIKES[char]]
+            options = [(x, _SWAPPED + _HALVED * (n == 2)) for x in LOOKALIKES[char]]
             if n > 1:
                 options += [(2 * x, _SWAPPED) for x in LOOKALIKES[char]]
             options.append((char, _KEPT))
@@ -111,44 +111,58 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-_STRIPPED = re.compile(r"^[\s\"'()\[\]{}<>.,;:?#%&*~_^=/\\-]+|[\s\"'()\[\]{}<>.,;:?!#%&*~_^=/\\$|+-]+$")
-_ODD = re.compile(r"[A-Za-z\x80-\U0010ffff].*[0-9@$!|+€£]|[0-9@$!|+(€£].*[A-Za-z]|(\w)\1\1|\w[.\-_*~']\w")
+# What stands around a word. A look-alike other than "!" at the end may also belong to the word.
+_BEFORE = r"""^[\s"'()\[\]{}<>.,;:?#%&*~_^=/\\-]+"""
+_AFTER = r"""[\s"')\[\]{}<>.,;:?!#%&*~_^=/\\-]+$"""
+_STRIPPED = re.compile(rf"{_BEFORE}|{_AFTER}")
+_SIGNS = re.compile(r"""[\s"'()\[\]{}<>.,;:?!#%&*~_^=/\\$|+-]+$""")
+_CHANGED = np.zeros(128, dtype=bool)
+_CHANGED[[ord(c) for c in [*LOOKALIKES, *SEPARATORS] if ord(c) < 128]] = True
+_CHANGED_BEYOND = [ord(c) for c in LOOKALIKES if ord(c) > 127]
+_LATTICE_CHANGES = re.compile(rf"(.)\1|[{re.escape(''.join(LOOKALIKES) + SEPARATORS)}]", re.S)
+
+
+def readings(word: str) -> list[str]:
+    """What of a word in lower case is decoded: without the punctuation around it, with and
+    without the look-alikes at its end; only what ``lattice`` can change."""
+    token = _STRIPPED.sub("", word)
+    return [t for t in dict.fromkeys((token, _SIGNS.sub("", token))) if _LATTICE_CHANGES.search(t)]
 
 
 def _suspects(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Which words may be obfuscated: a cheap test on their bytes."""
-    odd = np.zeros(256, dtype=bool)
-    odd[[ord(c) for c in "0123456789@$!|+(.-_*~'"]] = True
-    odd[[0xE2, 0xC2]] = True  # first bytes of the currency signs
-    letter = (_CLASS > 0)[data]
-    strange = odd[data]
-    triple = np.zeros(len(data), dtype=bool)
-    triple[2:] = (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2])
-
-    def per_word(flags: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0], np.cumsum(flags)])
-        return total[end] - total[start]
-    # a sign at the very end is punctuation
-    return (per_word(letter) > 0) & ((per_word(strange) - strange[np.maximum(end, 1) - 1] > 0)
-                                     | (per_word(triple) > 0))
-
-
-def restored(w, first: int, last: int, odd: np.ndarray, single: np.ndarray,
-             decode) -> list[str]:
-    """Restored forms of the suspicious words from ``first`` to ``last``, and of runs of three
-    or more one-letter words taken as one."""
-    out = []
+    """Which words in lower case ``lattice`` may change: any look-alike, separator or letter that
+    stands twice; a cheap test that passes all that ``readings`` keeps."""
+    characters = Characters(data)
+    char = np.frombuffer(data.tobytes().decode("utf8").encode("utf-32-le"), dtype=np.uint32)
+    strange = _CHANGED[np.minimum(char, 127)] & (char < 128) | np.isin(char, _CHANGED_BEYOND)
+    twice = np.zeros(len(char), dtype=bool)
+    twice[1:] = char[1:] == char[:-1]
+    n_strange, n_twice = (np.concatenate([[0], np.cumsum(x)]) for x in (strange, twice))
+    first, last = characters.before[start], characters.before[end]
+    return (n_strange[last] > n_strange[first]) | (n_twice[last] > n_twice[np.minimum(first + 1, last)])
+
+
+def restored(w: Words, odd: np.ndarray, single: np.ndarray, decode) -> list[set[str]]:
+    """Per text the restored forms, as far as they differ, of its suspicious words and of runs of
+    three or more one-letter words taken as one. Each distinct word is decided once."""
+    out: list[set[str]] = [set() for _ in range(len(w.first) - 1)]
     raw = w.data
-    for i in np.flatnonzero(odd[first:last]) + first:
-        token = _STRIPPED.sub("", raw[w.start[i]:w.end[i]].tobytes().decode("utf8", "replace"))
-        if _ODD.search(token):
-            out.append(decode(token))
-    at = np.flatnonzero(single[first:last]) + first
+    at = np.flatnonzero(odd)
+    _, example, kind = np.unique(w.hash[at], return_index=True, return_inverse=True)
+    forms = []
+    for i in at[example]:
+        word = raw[w.start[i]:w.end[i]].tobytes().decode("utf8", "replace")
+        forms.append([f for t in readings(word) if (f := decode(t)) != t])
+    changed = np.array([bool(f) for f in forms], dtype=bool)
+    hit = np.flatnonzero(changed[kind]) if len(at) else at
+    for d, k in zip(w.doc[at[hit]].tolist(), kind[hit].tolist(), strict=True):
+        out[d].update(forms[k])
+    at = np.flatnonzero(single)
     if len(at) > 2:
-        for group in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1):
+        for group in np.split(at, np.flatnonzero((np.diff(at) > 1) | (np.diff(w.doc[at]) > 0)) + 1):
             if len(group) > 2:
                 letters = raw[w.start[group[0]]:w.end[group[-1]]].tobytes().decode("utf8", "replace")
-                out.append(decode(re.sub(r"\s+", "", letters)))
+                out[w.doc[group[0]]].add(decode(re.sub(r"\s+", "", letters)))
     return out
 
 
@@ -267,8 +281,7 @@ def _evidence(texts: pa.Array, model: Model, decode, lookup) -> np.ndarray:
     n = len(w.first) - 1
     spaced = words(texts, SPACED)
     odd, single = _suspects(spaced.data, spaced.start, spaced.end), _singles(spaced)
-    fixed = [restored(spaced, spaced.first[d], spaced.first[d + 1], odd, single, decode)
-             for d in range(n)]
+    fixed = restored(spaced, odd, single, decode)
     extra = words(pa.array([" ".join(f) for f in fixed], pa.large_string()), ALPHANUMERIC)
     whole, whole_weight, begin, begin_weight = lookup
     doc, key, weight = [], [], []

@@ -194,6 +194,42 @@ def test_toxicity_without_labels(spark, toxic_world, no_docs):
     assert toxicity.score(texts, model).count() == 700
 
 
+HIDDEN = {
+    "stupid": ["sstupid", "stuppid", "STTUPID", "sStupid", "5tupid", "stup|d", "s-t-u-p-i-d", "stu.pid"],
+    "idiot": ["iidiot", "iIidiot", "IiIiIdiot", "idio7", "idio+", "idi0t!", "1diot", "idi0t$", "(idi0t)", "idiotT"],
+    "obese": ["08353", "0bese", "obes3", "08E5E"], "ass": ["4$$", "a$$", "4ss", "455", "4$$!"], "télé": ["téélé", "TÉÉLÉ", "7élé"],
+}
+
+
+def test_every_form_that_the_lattice_models_is_restored():
+    model = toxicity.Model(toxicity.np.zeros(28 ** 3), dict.fromkeys(HIDDEN, 5.0), toxicity.np.zeros(4))
+    forms = [f for some in HIDDEN.values() for f in some]
+    texts = toxicity.pa.array([t for f in forms for t in (f, f"so {f}, then {f}")])
+    evidence = toxicity._evidence(texts, model, model.decoder(), model.table())
+    assert [t for t, n in zip(texts.to_pylist(), evidence[:, 2], strict=True) if n != 1] == []
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text("abIi7$!|+(€£.-'é日 ", max_size=12), max_size=5))
+def test_the_prefilter_passes_what_the_lattice_changes(texts):
+    texts = toxicity.lowered(toxicity.pa.array(texts, toxicity.pa.string()))
+    w = toxicity.words(texts, toxicity.SPACED)
+    passed = toxicity._suspects(w.data, w.start, w.end)
+    for start, end, odd in zip(w.start, w.end, passed, strict=True):
+        word = w.data[start:end].tobytes().decode()
+        assert odd == any(len(o) > 1 for o in toxicity.lattice(word))
+        inside = toxicity._STRIPPED.sub("", word)
+        assert (inside in toxicity.readings(word)) == any(len(o) > 1 for o in toxicity.lattice(inside))
+
+
+def test_each_distinct_word_is_decoded_once():
+    calls = []
+    model = toxicity.Model(toxicity.np.zeros(28 ** 3), {"idiot": 5.0}, toxicity.np.zeros(4))
+    texts = toxicity.pa.array(["iidiot idio7 iidiot", "iidiot", "plain words", None] * 50)
+    toxicity._evidence(texts, model, lambda t: calls.append(t) or t, model.table())
+    assert sorted(calls) == ["idio7", "iidiot"]
+
+
 def test_marker_beginnings_are_cut_by_characters():
     markers = ["réeu*", "réeuxa*", "éêàüöñ*", "дура*", "дурачь*", "été"]
     model = toxicity.Model(toxicity.np.zeros(28 ** 3), dict.fromkeys(markers, 5.0), toxicity.np.zeros(4))
