@@ -1,14 +1,15 @@
-"""Removal of word passages that an earlier document holds, by relative Lempel-Ziv parsing.
+"""Removal of word passages that an earlier document holds, by hashes of word windows.
 
 The corpus is cut into reference blocks of consecutive documents. Each block indexes its own
 phrases (runs of ``n`` words, by a hash) and hands every index shard the phrases that fall into
 it; a shard answers which of a block's phrases an earlier block holds, and which block that is.
-With the answers each document is parsed from left to right against all earlier blocks and the
-earlier documents of its own: a factor starts at the first word whose phrase is known and is
-extended word by word while the phrase that ends there is known from the same block; a word that
-starts no known phrase is a literal. A factor has at least ``n`` words by construction. Where one
-ends, the phrases that straddle its end are looked up too, so neighbours that overlap join into
-one duplicate span, and every word of a phrase that starts in an earlier document is covered.
+With the answers, and the earlier documents of its own block, every word of a phrase that an
+earlier document holds is marked and removed. That gives the exact result without a parse.
+
+The column ``factors`` describes what was removed, and nothing is derived from it. It is no greedy
+Lempel-Ziv parse: a factor is a run of phrases with the same earliest block, so a copy of one
+document is split where a part of it occurs in a still earlier block, and neighbouring phrases from
+two documents of one block make one factor that stands in neither.
 
 At scale: text is shuffled once, by block, and the exchange serves both passes; phrases travel
 as 7 bytes each; a block sends a phrase once however often it holds it, so a phrase that is in
@@ -73,7 +74,7 @@ def _unpacked(raw: bytes) -> np.ndarray:
 
 
 def parse(known: np.ndarray, n: int) -> list[tuple[int, int, int]]:
-    """Greedy factors of one document: first word, words, block.
+    """Runs of phrases with one earliest block in a document: first word, words, block.
 
     ``known[i]`` is the block that holds the phrase from word ``i`` on, or -1.
     """
