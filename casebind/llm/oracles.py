@@ -101,8 +101,84 @@ m AS (SELECT a AS class_id, count(*) AS n_links FROM l GROUP BY a)
 SELECT doc_id, class_id, n_copies, coalesce(n_links, 0) AS n_links, coalesce(group_id, class_id) AS group_id
 FROM d JOIN c USING (text) LEFT JOIN g USING (class_id) LEFT JOIN m USING (class_id)"""
 
+_CRC_TABLE = """t AS MATERIALIZED (SELECT list(c ORDER BY i) AS c FROM (SELECT i, list_reduce(list_concat([i], range(8)),
+ lambda a, x: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(256) r(i)))"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(list_reduce(list_concat([4294967295], list_transform(regexp_extract_all(
+ hex(encode({text})), '..'), lambda b: CAST(('0x' || b) AS BIGINT))),
+ lambda a, b: xor(a >> 8, c[1 + CAST(xor(a & 255, b) AS INT)])), 4294967295)"""
+
+
+def _rendezvous(shards: int) -> str:
+    return f"""(SELECT i FROM (SELECT i, 1.0 / -ln((CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':'
+ || CAST(i AS VARCHAR)), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0) AS bid FROM range({shards}) r(i))
+ ORDER BY bid DESC, i LIMIT 1)"""
+
+
+OP11 = f"""
+WITH {_CRC_TABLE},
+d AS (SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS BIGINT) AS size,
+ {_crc32("coalesce(text, '')")} AS text_crc32, {_rendezvous(8)} AS shard, {_rendezvous(9)} AS grown_shard
+ FROM documents, t)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INT) AS shard, CAST(grown_shard AS INT) AS grown_shard,
+ row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot FROM d"""
+
+
+def _op12(rounds: int = 4) -> str:
+    sql = """
+WITH v AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS x
+ FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT vec_id, part, x[part * len(x) // 4 + 1:(part + 1) * len(x) // 4] AS x FROM v, range(4) r(part)),
+b0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x
+ FROM p WHERE vec_id IN (SELECT vec_id FROM v ORDER BY vec_id LIMIT 256))"""
+    for k in range(rounds + 1):
+        sql += f""",
+a{k} AS MATERIALIZED (SELECT p.vec_id, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM (
+ SELECT p.vec_id, part, entry, list_inner_product(p.x, p.x) - 2 * list_inner_product(p.x, b.x)
+ + list_inner_product(b.x, b.x) AS d FROM p JOIN b{k} b USING (part)) p GROUP BY p.vec_id, part),
+m{k} AS (SELECT part, entry, list(y ORDER BY pos) AS x FROM (SELECT part, entry, pos, floor(sum(y) / count(*)) AS y
+ FROM (SELECT part, entry, unnest(p.x) AS y, generate_subscripts(p.x, 1) AS pos FROM a{k} JOIN p USING (vec_id, part))
+ GROUP BY ALL) GROUP BY ALL),
+b{k + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m.x, b.x) AS x FROM b{k} b LEFT JOIN m{k} m USING (part, entry))"""
+    return sql + f""",
+c AS (SELECT vec_id, string_agg(lower(lpad(hex(entry), 2, '0')), '' ORDER BY part) AS code,
+ CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id),
+s AS (SELECT sha256(string_agg(CAST(CAST(y AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, pos)) AS codebooks_sha256
+ FROM (SELECT part, entry, unnest(x) AS y, generate_subscripts(x, 1) AS pos FROM b{rounds}))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM c JOIN v USING (vec_id), s"""
+
+
+OP12 = _op12()
+
+OP13 = f"""
+WITH {_CRC_TABLE},
+d AS MATERIALIZED (SELECT doc_id, {_ALPHANUMERIC} AS w FROM documents),
+b AS (SELECT {_ALPHANUMERIC} AS w FROM benchmark),
+f AS MATERIALIZED (SELECT doc_id, unnest(list_transform(range(1, len(w) - n + 1), lambda i: array_to_string(w[i:i + n], ' '))) AS f
+ FROM d, range(3) r(n)),
+g AS MATERIALIZED (SELECT unnest(list_transform(range(1, len(w) - n + 1), lambda i: array_to_string(w[i:i + n], ' '))) AS f
+ FROM b, range(3) r(n)),
+k AS MATERIALIZED (SELECT f, {_crc32('f')} % 10000 AS bucket FROM (SELECT f FROM f UNION SELECT f FROM g), t),
+x AS (SELECT bucket, count(*) AS s FROM f JOIN k USING (f) GROUP BY bucket),
+y AS (SELECT bucket, count(*) AS t FROM g JOIN k USING (f) GROUP BY bucket),
+n AS (SELECT (SELECT count(*) FROM f) AS s_all, (SELECT count(*) FROM g) AS t_all),
+gain AS MATERIALIZED (SELECT bucket, CAST(floor(1000 * ln((CAST(coalesce(t, 0) AS DOUBLE) + 1) * (s_all + 10000)
+ / ((CAST(coalesce(s, 0) AS DOUBLE) + 1) * (t_all + 10000)))) AS BIGINT) AS gain
+ FROM (SELECT range AS bucket FROM range(10000)) LEFT JOIN x USING (bucket) LEFT JOIN y USING (bucket), n),
+w AS (SELECT doc_id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight FROM f JOIN k USING (f)
+ JOIN gain USING (bucket) GROUP BY doc_id),
+z AS (SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+ coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT)
+ + 0.5) / 4294967296))) AS BIGINT) AS score FROM d LEFT JOIN w USING (doc_id)),
+o AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place,
+ count(*) OVER (PARTITION BY n_words >= 20) AS n FROM z)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 5 * n // 100 THEN place END AS rank FROM o"""
+
 ORACLES = {
     "op1_substring_dedup": OP1, "op4_chat": OP4, "op5_line_dedup": OP5, "op7_decontamination": OP7,
     "op8_mixing": OP8, "op8_mixing_by_quality": OP8_BY_QUALITY,
-    "op10_ngram_join": OP10,
+    "op10_ngram_join": OP10, "op11_sharding": OP11, "op12_vector_codes": OP12, "op13_resampling": OP13,
 }

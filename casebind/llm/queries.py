@@ -8,13 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casebind.llm import chat, pii, toxicity
+from casebind.llm.ball_codes import compress
 from casebind.llm.decontaminate import find_items
 from casebind.llm.fingerprints import compared
+from casebind.llm.importance import resample
 from casebind.llm.license_scan import scan_licences
 from casebind.llm.line_dedup import dedup_lines
 from casebind.llm.mixing import mix, quality_weights
 from casebind.llm.ngram_join import near_duplicates
 from casebind.llm.oracles import ORACLES  # noqa: F401
+from casebind.llm.sharding import manifest
 from casebind.llm.substring_dedup import dedup_substrings
 
 
@@ -110,6 +113,21 @@ def op8_mixing_by_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", "taken"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+            .select("vec_id", "code", "error", "label_error", "codebooks_sha256"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return (resample(docs, target, keep=["doc_id"])
+            .select("doc_id", "n_features", "weight", "score", "rank"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_fingerprints": op2_fingerprints,
@@ -122,4 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing_by_quality": op8_mixing_by_quality,
     "op9_pii": op9_pii,
     "op10_ngram_join": op10_ngram_join,
+    "op11_sharding": op11_sharding,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_resampling": op13_resampling,
 }
