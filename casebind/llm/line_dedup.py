@@ -2,7 +2,8 @@
 
 Two lines are near if they differ by at most one edit (a character inserted, left out or
 replaced); lines below ``MIN_LENGTH`` characters must be equal. A line goes if an equal or near
-line stands earlier in the corpus, by document id and line number; the earliest stays. Lines are
+line stands earlier in the corpus, by document id and line number; the earliest stays. A line's
+place also has a hash of its text, so that rows that share an id, or lack one, stay apart. Lines are
 judged on the input, so a line goes even if the earlier one it is near to goes too. Empty lines
 stay.
 
@@ -55,11 +56,12 @@ def _distinct_lines(docs: DataFrame) -> DataFrame:
     """Every distinct line that is not empty: two hashes, earliest place, length, half keys."""
     n = F.length("line")
     keys = F.when(n >= MIN_LENGTH, F.array(*(key for key, _ in _halves(F.col("line"), n))))
-    return (docs.select("doc_id", F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
+    return (docs.select("doc_id", "_text_hash", F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
             .where("line <> ''")
-            .select(F.xxhash64("line").alias("h"), F.hash("line").alias("g"), "doc_id", "pos",
+            .select(F.xxhash64("line").alias("h"), F.hash("line").alias("g"), "doc_id", "pos", "_text_hash",
                     n.alias("n"), keys.alias("keys"))
-            .groupBy("h", "g").agg(F.min(F.struct(F.col("doc_id").alias("id"), "pos")).alias("place"),
+            .groupBy("h", "g").agg(F.min(F.struct(F.col("doc_id").alias("id"), "pos", F.col("_text_hash").alias("text")))
+                                   .alias("place"),
                                    F.first("n").alias("n"), F.first("keys").alias("keys")))
 
 
@@ -111,46 +113,51 @@ def _near_pairs(variants: DataFrame) -> DataFrame:
     return (found.select("place", earlier.alias("earlier")).where("earlier < place").distinct())
 
 
-def _by_id(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
-    """``docs`` with what ``lists`` has for their ids (``_id``); a null id meets a null one."""
-    return docs.join(lists.hint("merge"), docs["doc_id"].eqNullSafe(lists["_id"]), how).drop("_id")
+def _by_row(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
+    """``docs`` with what ``lists`` has for their id and text; a null id meets a null one."""
+    same = docs["doc_id"].eqNullSafe(lists["_id"]) & (docs["_text_hash"] == lists["_text"])
+    return docs.join(lists.hint("merge"), same, how).drop("_id", "_text")
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` cut to the lines that stay, and n_lines and n_kept (without empty
     lines; columns of these names are replaced).
 
-    A null text has one empty line and becomes ''. Rows without an id come first. Rows that share
-    an id count as one document: a line number that stays in one stays in all of them, so their
-    repeated lines may stay.
+    A null text has one empty line and becomes ''. Rows without an id come first. Lines with one
+    number in different rows of one id (or without any) are neither earlier than the other: the one
+    with the lower text hash stays if they are equal, both if they are near. Rows of one id and
+    text are the same row: what stays in one stays in all of them.
     """
     names = [c for c in docs.columns if c not in ("n_lines", "n_kept")]
-    docs = packed(docs.select(*[f"`{c}`" for c in names]), "doc_id", "text")
-    texts = docs.select("doc_id", "text")
+    docs = packed(docs.select(*[f"`{c}`" for c in names]), "doc_id", "text").withColumn(
+        "_text_hash", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    texts = docs.select("doc_id", "text", "_text_hash")
     lines = staged(_distinct_lines(texts), "lines")
     candidates = staged(_candidates(lines), "line-candidates")
-    wanted = candidates.groupBy(F.col("place.id").alias("_id")).agg(F.collect_list(F.struct(
-        F.col("place.pos").alias("pos"), "n", "way", "key", "alike", "longer", "shorter")).alias("w"))
-    found = (_by_id(texts, wanted, "inner").withColumn("lines", lines_of(F.col("text")))
-             .select("doc_id", "lines", F.explode("w").alias("w"))
+    wanted = candidates.groupBy(F.col("place.id").alias("_id"), F.col("place.text").alias("_text")).agg(
+        F.collect_list(F.struct(F.col("place.pos").alias("pos"), "n", "way", "key", "alike", "longer", "shorter")).alias("w"))
+    found = (_by_row(texts, wanted, "inner").withColumn("lines", lines_of(F.col("text")))
+             .select("doc_id", "_text_hash", "lines", F.explode("w").alias("w"))
              .select(F.struct(F.col("doc_id").alias("id"), F.col("w.pos").alias("pos")).alias("place"),
-                     "w.*", F.get("lines", F.col("w.pos")).alias("line"))
-             .where(F.length("line") == F.col("n")))  # of rows with one id, the one meant
+                     "_text_hash", "w.*", F.get("lines", F.col("w.pos")).alias("line")))
     ways = [rest for _, rest in _halves(F.col("line"), F.col("n"))]
     rest = F.when(F.col("way") == 0, ways[0]).when(F.col("way") == 1, ways[1]).otherwise(ways[2])
+    # places without the text hash, to keep variants small: equal ones are told apart by their lines
     pairs = _near_pairs(_variants(found.withColumn("rest", rest)))
-    known = found.select("place", "line").distinct()
+    known = found.select("place", "_text_hash", "line").distinct()
     near = (pairs.join(known, "place")
             .join(known.select(F.col("place").alias("earlier"), F.col("line").alias("before")), "earlier")
-            .where(F.levenshtein("line", "before", 1) >= 0).select("place").distinct())
+            .where(F.levenshtein("line", "before", 1) >= 0)
+            .select(F.struct("place.id", "place.pos", F.col("_text_hash").alias("text")).alias("place")).distinct())
     kept = (lines.select("place").join(near, "place", "left_anti")
-            .groupBy(F.col("place.id").alias("_id")).agg(F.collect_list("place.pos").alias("_kept")))
+            .groupBy(F.col("place.id").alias("_id"), F.col("place.text").alias("_text"))
+            .agg(F.collect_list("place.pos").alias("_kept")))
     all_lines = F.col("_lines")
     numbers = F.sequence(F.lit(0), F.size(all_lines) - 1)
     empty = F.filter(numbers, lambda i: F.get(all_lines, i) == "")
     stays = F.array_intersect(numbers, F.concat(
         F.coalesce("_kept", F.array().cast("array<int>")), empty))
-    return (_by_id(docs, kept, "left").withColumn("_lines", lines_of(F.col("text")))
+    return (_by_row(docs, kept, "left").withColumn("_lines", lines_of(F.col("text")))
             .withColumn("_stay", stays).withColumn("_empty", F.size(empty))
             .withColumn("text", F.array_join(F.transform("_stay", lambda i: F.get(all_lines, i)), "\n"))
             .withColumn("n_lines", F.size(all_lines) - F.col("_empty"))

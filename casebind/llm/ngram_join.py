@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casebind.llm.arrays import SPACED, bounds, mixed, pieces, shingles, words
@@ -97,6 +97,12 @@ def _least(alike: np.ndarray, ids: np.ndarray) -> np.ndarray:
         label = new
 
 
+def _node() -> Column:
+    """The id of a row, or a negative hash of its text if it has none."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return F.coalesce(F.col("doc_id").cast("long"), -F.abs(F.xxhash64(text) % (1 << 62)))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
                     shingle: int = SHINGLE) -> DataFrame:
     """Per row of ``docs``: doc_id, class_id, n_copies, n_links, group_id.
@@ -128,7 +134,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rowed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("doc_id").cast("long"), -F.abs(F.xxhash64(text) % (1 << 62))).alias("node"),
+        _node().alias("node"),
         F.unhex(F.md5(text.cast("binary"))).alias("text_hash"), text.alias("text"))
     signed = staged(rowed.mapInArrow(
         sign, "doc_id long, node long, text_hash binary, bands binary"), "signatures")
@@ -211,13 +217,20 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one row of each group of near duplicates: the least id, and of rows with
-    that id the one with the least text hash. Columns stay as they are."""
-    found = near_duplicates(docs, threshold)
-    keep = found.where("node = group_id").select("node").distinct()
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    node = F.coalesce(F.col("doc_id").cast("long"), -F.abs(F.xxhash64(text) % (1 << 62)))
-    first = Window.partitionBy("node").orderBy(F.xxhash64(text), F.length(text))
-    return (packed(docs, "doc_id", "text", node=node).join(keep, "node")
-            .withColumn("turn", F.row_number().over(first)).where("turn = 1")
-            .select(*unpacked(docs.columns, ("doc_id", "text"))))
+    """``docs`` with one row of each group of near duplicates: the least id. Columns stay.
+
+    Ids that stand for different texts name no row: such rows count as rows without an id, so each
+    text stays unless it is a near copy of another that does. Of repeated rows one stays.
+    """
+    text = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    shared = staged(docs.where("doc_id IS NOT NULL").groupBy("doc_id")
+                    .agg(F.min(text).alias("least"), F.max(text).alias("most"))
+                    .where("least < most").select(F.col("doc_id").alias("_shared")), "shared-ids")
+    own = (packed(docs, "doc_id", "text").join(shared, F.col("doc_id") == F.col("_shared"), "left")
+           .withColumn("own", F.col("doc_id"))
+           .withColumn("doc_id", F.when(F.col("_shared").isNull(), F.col("doc_id"))).withColumn("node", _node()))
+    keep = (near_duplicates(own.select("doc_id", "text"), threshold)
+            .where("node = group_id").select("node").distinct())
+    first = Window.partitionBy("node").orderBy("own", F.xxhash64("text"))
+    return (own.join(keep, "node").withColumn("turn", F.row_number().over(first)).where("turn = 1")
+            .withColumn("doc_id", F.col("own")).select(*unpacked(docs.columns, ("doc_id", "text"))))

@@ -144,6 +144,24 @@ def test_lines_of_any_table(docs, no_docs, rows):
     assert line_dedup.dedup_lines(no_docs).count() == 0
 
 
+def test_lines_of_rows_that_share_an_id(spark):
+    """Every line stays somewhere: only lines that are equal or near to an earlier one go."""
+    given = [(1, "the quick brown fox jumps"), (7, "a line that only this row holds"),
+             (7, "the quick brown fox jumpz\nshared by both rows"), (8, "shared by both rows\nlast line of all"),
+             (None, "rows without an id come first"), (None, "another row without an id\nrows without an id come first"),
+             (9, "another row without an id"), (9, "another row without an id")]
+    frame = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(given)], "doc_id bigint, text string, k int")
+    got = {r["k"]: r["text"] for r in line_dedup.dedup_lines(frame).collect()}
+    assert got == {0: given[0][1], 1: given[1][1], 2: "shared by both rows", 3: "last line of all", 4: given[4][1],
+                   5: "another row without an id", 6: "", 7: ""}
+    rng, rows = random.Random(5), []
+    for _ in range(50):
+        rows.append((rng.choice([None, 3, 4]), "\n".join(sorted({"%030x" % rng.getrandbits(120) for _ in range(rng.randrange(1, 5))}))))
+    rows += rows[:5]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter(rows)  # no two lines are alike
+
+
 # ---- toxicity ------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
@@ -481,6 +499,23 @@ def test_one_row_of_each_group_stays(docs, rows):
     assert len(left) == len(set(left) - {None}) + left.count(None)
 
 
+def test_rows_that_share_an_id_are_texts_of_their_own(spark):
+    base = [f"w{k}" for k in range(60)]
+    other = [f"v{k}" for k in range(60)]
+
+    def near(words, k):
+        return " ".join([*words[:k], "x", *words[k + 1:]])
+
+    given = [(3, " ".join(base)), (7, near(base, 59)), (7, " ".join(other)), (7, "a text of nobody else " * 3),
+             (9, near(other, 0)), (9, near(other, 0)), (10, "alone here"), (10, "alone here"), (None, "alone here"),
+             (None, " ".join(f"u{k}" for k in range(60)))]
+    frame = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(given)], "doc_id bigint, text string, k int")
+    kept = sorted(r["k"] for r in ngram_join.one_of_each(frame).collect())
+    # one of 0 and 1, one of 2, 4 and 5, row 3, one of 6, 7 and 8, row 9
+    assert len(kept) == 5 and {3, 9} <= set(kept)
+    assert len({0, 1} & set(kept)) == len({2, 4, 5} & set(kept)) == len({6, 7, 8} & set(kept)) == 1
+
+
 def test_bands_reach_the_recall():
     for threshold in (0.5, 0.8, 0.9):
         bands, rows = ngram_join.bands_for(threshold)
