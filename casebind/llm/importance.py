@@ -9,7 +9,7 @@ The buckets come from an Aho-Corasick automaton. Its dictionary are the distinct
 a task has at hand, each between its delimiters, so that a match is a whole word; each carries the
 word's CRC and length. One scan emits the payloads in order, and the CRC of a run is composed of
 neighbouring payloads: crc(a b) is crc(a), moved on by the length of b, xor crc(b). No run of words
-is ever written out. The dictionary never outgrows the texts at hand (about 4 MB); words over
+is ever written out. Texts are scanned once; counting and weighing read the buckets this leaves. The dictionary never outgrows the texts at hand (about 4 MB); words over
 ``LONG`` bytes are told by a pattern instead, so that no automaton grows with one word.
 """
 
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casebind.llm.arrays import ALPHANUMERIC, pieces, text_bytes
+from casebind.llm.arrays import ALPHANUMERIC, bounds, pieces, text_bytes
 from casebind.llm.numbering import numbered
 from casebind.sources.staging import staged
 
@@ -122,17 +122,57 @@ def features(texts: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray, np.nd
             np.bincount(doc, minlength=len(texts)))
 
 
-def bucket_counts(docs: DataFrame, buckets: int = BUCKETS, column: str = "text") -> np.ndarray:
-    """How many features of all texts fall into each bucket. One number a bucket reaches the driver."""
+def _width(buckets: int) -> np.dtype:
+    return np.dtype("<u2" if buckets <= 1 << 16 else "<u4")
+
+
+def featured(docs: DataFrame, keep: Sequence[str] = (), buckets: int = BUCKETS, column: str = "text") -> DataFrame:
+    """The columns ``keep`` of ``docs`` with n_words and ``ids``: the bucket of every feature.
+
+    No shuffle. Buckets take two bytes a feature, about what the text takes; written once they
+    save a second scan.
+    """
+    own = [docs.schema[c] for c in keep]
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)],
+                       F.col(f"`{column}`").cast("string").alias("text"))
+    fields = [*(T.StructField(f"k{i}", f.dataType) for i, f in enumerate(own)),
+              T.StructField("n_words", T.LongType()), T.StructField("ids", T.BinaryType())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                bucket, doc, n_words = features(piece.column("text"), buckets)
+                order = np.argsort(doc, kind="stable")
+                data = bucket[order].astype(_width(buckets)).tobytes()
+                at = bounds(doc[order], piece.num_rows) * _width(buckets).itemsize
+                ids = pa.Array.from_buffers(pa.large_binary(), piece.num_rows, [
+                    None, pa.py_buffer(at.astype(np.int64).tobytes()), pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays(
+                    [*(piece.column(i) for i in range(len(own))), pa.array(n_words, pa.int64()),
+                     ids.cast(pa.binary())], [f.name for f in fields])
+
+    return rows.mapInArrow(run, T.StructType(fields)).select(
+        *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "n_words", "ids")
+
+
+def _ids(batch: pa.RecordBatch, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of all features of the rows, and how many each row has."""
+    lists = batch.column("ids").to_pylist()
+    width = _width(buckets)
+    return np.frombuffer(b"".join(lists), width), np.array([len(x) // width.itemsize for x in lists], np.int64)
+
+
+def bucket_counts(rows: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
+    """How many features of all ``featured`` rows fall into each bucket. One number a bucket
+    reaches the driver."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(buckets, np.int64)
         for batch in batches:
-            for piece in pieces(batch, column):
-                n += np.bincount(features(piece.column(column), buckets)[0], minlength=buckets)
+            n += np.bincount(_ids(batch, buckets)[0], minlength=buckets)
         some = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(n[some])], ["bucket", "n"])
 
-    told = (docs.select(F.col(f"`{column}`").cast("string").alias(column)).mapInArrow(count, "bucket int, n long")
+    told = (rows.select("ids").mapInArrow(count, "bucket int, n long")
             .groupBy("bucket").agg(F.sum("n").alias("n")).toArrow())
     out = np.zeros(buckets, np.int64)
     out[told["bucket"].to_numpy()] = told["n"].to_numpy()
@@ -146,29 +186,25 @@ def gains(docs: np.ndarray, target: np.ndarray) -> np.ndarray:
                      for s, t in zip(docs.tolist(), target.tolist(), strict=True)], dtype=np.int64)
 
 
-def weighed(docs: DataFrame, gain: np.ndarray, keep: Sequence[str], column: str = "text") -> DataFrame:
-    """The columns ``keep`` of ``docs`` with n_words, n_features and weight. No shuffle."""
-    own = [docs.schema[c] for c in keep]
-    new = ("n_words", "n_features", "weight")
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)],
-                       F.col(f"`{column}`").cast("string").alias("text"))
+def weighed(rows: DataFrame, gain: np.ndarray) -> DataFrame:
+    """``featured`` rows with n_features and weight in place of their buckets. No shuffle."""
+    own = [f for f in rows.schema.fields if f.name != "ids"]
+    inside = [f"k{i}" for i in range(len(own))]
+    fields = [*(T.StructField(k, f.dataType) for k, f in zip(inside, own, strict=True)),
+              T.StructField("n_features", T.LongType()), T.StructField("weight", T.LongType())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, "text"):
-                bucket, doc, n_words = features(piece.column("text"), len(gain))
-                n = piece.num_rows
-                # whole numbers far below 2**53
-                weight = np.bincount(doc, weights=gain[bucket].astype(float), minlength=n)
-                yield pa.RecordBatch.from_arrays(
-                    [*(piece.column(i) for i in range(len(own))), pa.array(n_words, pa.int64()),
-                     pa.array(np.bincount(doc, minlength=n), pa.int64()), pa.array(weight.astype(np.int64))],
-                    [*(f"k{i}" for i in range(len(own))), *new])
+            ids, n = _ids(batch, len(gain))
+            total = np.append(0, np.cumsum(gain[ids]))
+            end = np.cumsum(n)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in inside), pa.array(n), pa.array(total[end] - total[end - n])],
+                [f.name for f in fields])
 
-    schema = T.StructType([*(T.StructField(f"k{i}", f.dataType) for i, f in enumerate(own)),
-                           *(T.StructField(c, T.LongType()) for c in new)])
-    return rows.mapInArrow(run, schema).select(
-        *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *new)
+    return (rows.select(*[F.col(f"`{f.name}`").alias(k) for k, f in zip(inside, own, strict=True)], "ids")
+            .mapInArrow(run, T.StructType(fields))
+            .select(*[F.col(k).alias(f.name) for k, f in zip(inside, own, strict=True)], "n_features", "weight"))
 
 
 def resample(docs: DataFrame, target: DataFrame, keep: Sequence[str] | None = None,
@@ -186,13 +222,14 @@ def resample(docs: DataFrame, target: DataFrame, keep: Sequence[str] | None = No
     """
     added = ("n_words", "n_features", "weight", "score", "rank")
     names = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    gain = gains(bucket_counts(docs, buckets, column), bucket_counts(target, buckets, column))
     carry = [*names, "doc_id"] if "doc_id" not in names else names
+    rows = staged(featured(docs, carry, buckets, column), "features")
+    gain = gains(bucket_counts(rows, buckets), bucket_counts(featured(target, (), buckets, column), buckets))
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
                     .cast("binary"), 256)
     h = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
     noise = F.floor(-1000 * F.log(-F.log((h + 0.5) / F.lit(4294967296.0))))
-    scored = weighed(docs, gain, carry, column).withColumn("score", (F.col("weight") + noise).cast("long"))
+    scored = weighed(rows, gain).withColumn("score", (F.col("weight") + noise).cast("long"))
     rows = staged(scored.withColumns({"_late": F.col("n_words") < min_words, "_down": -F.col("score")}), "scored")
     drawn = percent * rows.where("NOT _late").count() // 100
     return (numbered(rows, ["_late", "_down", "doc_id"], name="_place")
