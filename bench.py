@@ -38,14 +38,15 @@ def main() -> None:
     submissions = staged(i.submissions.repartition(cores), "submissions")
     wizard, labs = (staged(i.fixture(n), n) for n in ("wizard", "investigation"))
     sheets, form_table = staged(i.sheets, "sheets"), staged(i.forms, "forms")
-    registry = ref_assemble(wizard, labs)
-    pulled = stages.pull(submissions, wizard, labs, CONFIG)
+    # what a run writes before it matches
+    pulled = stages.pull(submissions, wizard, labs, CONFIG, staged)
+    registry, cases, known = pulled.registry, pulled.cases, pulled.people
     standardized = standardize(pulled.submissions)
     to_link = staged(quality.link_input(standardized), "to_link")
     carry = ["internal_create_date", *mrn.ID_FIELDS]
 
     def link() -> linkage.LinkResult:
-        return linkage.demographic_link(to_link, registry, CONFIG.link, carry=carry)
+        return linkage.demographic_link(to_link, known, CONFIG.link, carry=carry, stage=staged)
 
     def planned() -> run.RunResult:
         inputs = run.Inputs(submissions, wizard, labs, sheets, form_table)
@@ -62,14 +63,15 @@ def main() -> None:
         "wrangle": lambda: stages.wrangle(pulled, ledgers["rostered_tbl"], CONFIG).checked,
         "qa_multiple_subtypes": lambda: quality.multiple_subtypes(standardized),
         "demographic_link": lambda: link().rows,
-        "mrn_link": lambda: mrn.mrn_link(to_link, registry),
+        "mrn_link": lambda: mrn.mrn_link(to_link, cases),
         "rematch": lambda: stages.rematch(
             ledgers["no_match_tbl"], ledgers["rostered_tbl"], pulled, CONFIG, staged).matched,
         "create_roster": lambda: roster.dedup_roster(
-            roster.create_roster(ledgers["fuzzy_matched_review_tbl"], registry, CONFIG.run_date), registry),
+            roster.create_roster(ledgers["fuzzy_matched_review_tbl"], cases, CONFIG.run_date), registry),
         "form_updates": lambda: forms.form_updates(
-            roster.create_roster(ledgers["fuzzy_matched_review_tbl"], registry, CONFIG.run_date),
-            form_table, registry),
+            roster.create_roster(ledgers["fuzzy_matched_review_tbl"], cases, CONFIG.run_date),
+            form_table, cases),
+        "ref_assemble": lambda: ref_assemble(wizard, labs),
         "run": lambda: planned().roster,
         "run_written": written_run,
     }

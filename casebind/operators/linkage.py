@@ -1,14 +1,16 @@
 """Demographic linkage: same birth date, near collection date, similar name.
 
 Both sides are first reduced to distinct demographics, so copies never multiply pairs. Names
-that are equal pair through a plain equi join. The rest pair through shared pieces of the name:
-a pair within the allowed number of edits must have one piece untouched, so joining on pieces
-finds every such pair while never listing all pairs of a birth date.
+that are equal pair through a plain equi join. The rest pair through a segment index (partition
+based similarity join): registry names are cut into one more segment than they can have edits, so
+a pair within the allowed edits has a segment untouched. A segment is keyed by birth date, date
+slot, name length, number and text; a person probes, for each length that its block holds, only
+the few starts at which the edits left and right of the segment can have moved it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +20,7 @@ from casebind.functions.dates import business_days
 from casebind.functions.text import has_value, name_clean
 from casebind.operators.skew import HotKeys, hot_keys, lookup_join
 from casebind.settings import LinkConfig
+from casebind.sources.staging import unstaged
 
 KEY = "submission_number"
 PERSON = ["first_name_clean", "last_name_clean", "submitted_dob", "submitted_collection_date"]
@@ -116,43 +119,63 @@ def edits_allowed(length: Column, threshold: int) -> Column:
     return F.floor(length * (100 - threshold) / 100 + 1e-9).cast("int")
 
 
-def _most_edits(length: Column, threshold: int) -> Column:
-    """The same, over every partner length that can still reach the threshold."""
-    return F.floor(length * (100 - threshold) / threshold + 1e-9).cast("int")
+def segment_count(length: Column, threshold: int) -> Column:
+    """One more than the edits that any partner of a name of this length may have.
 
+    Partners are at most length * 100 / t long, which leaves length * (100 - t) / t edits: fewer
+    than there are letters, so no segment is empty. Thresholds of 50 and below allow as many edits
+    as letters; there the one segment is empty and only lengths can be compared.
+    """
+    if threshold <= 50:
+        return F.lit(1)
+    return F.floor(length * (100 - threshold) / threshold + 1e-9).cast("int") + 1
 
-def piece_length(threshold: int) -> int:
-    """Longest piece such that every name has one more piece than it can have edits; 0 if none.
 
-    A name of n letters has at least n / size pieces and at most n * (100 - t) / t edits, so
-    size * (100 - t) < t is enough at every length.
-    """
+def _segment(length: Column, i: Column, threshold: int) -> tuple[Column, Column]:
+    """Start (from 0) and size of segment ``i`` of a name of this length: as even as can be."""
     if threshold <= 50:
-        return 0
-    return next(size for size in range(8, 0, -1) if size * (100 - threshold) < threshold)
+        return F.lit(0), F.lit(0)
+    count = segment_count(length, threshold)
+    start = F.floor(i * length / count).cast("int")
+    return start, F.floor((i + 1) * length / count).cast("int") - start
+
+
+def _key(length: Column, i: Column, text: Column, start: Column, size: Column) -> Column:
+    return F.xxhash64("ref_dob", "slot", length, i, F.substring(text, start + 1, size))
+
 
+def index_keys(text: Column, threshold: int) -> Column:
+    """The keys of all segments of a registry name."""
+    n = F.length(text)
+    return F.transform(F.sequence(F.lit(0), segment_count(n, threshold) - 1), lambda i: _key(
+        n, i, text, *_segment(n, i, threshold)))
 
-def _padded_piece(text: Column, start: Column, size: int) -> Column:
-    return F.substring(F.concat(text, F.lit("$" * (size - 1))), start, F.lit(size))
 
+def probe_keys(text: Column, lengths: Column, threshold: int) -> Column:
+    """The keys that a registry name of one of ``lengths`` within the allowed edits may have.
 
-def _all_pieces(text: Column, size: int) -> Column:
-    """Every piece of the name: (start, text)."""
-    if not size:
-        return F.array(F.struct(F.lit(0).alias("at"), F.lit("").alias("piece")))
-    return F.transform(
-        F.sequence(F.lit(1), F.length(text)),
-        lambda i: F.struct(i.alias("at"), _padded_piece(text, i, size).alias("piece")))
+    Take the first segment with fewer edits up to its end than its number (from 1): it is
+    untouched, with i edits before it (i from 0) and so at most e - i after it. So only the first
+    e + 1 segments are asked for, segment i starts at most i letters off, and from the right end
+    at most e - i letters off.
+    """
+    n, none = F.length(text), F.array().cast("array<bigint>")
+
+    def of_length(m: Column) -> Column:
+        e = edits_allowed(F.greatest(n, m), threshold)
+
+        def of_segment(i: Column) -> Column:
+            start, size = _segment(m, i, threshold)
+            low = F.greatest(-i, n - m - (e - i), -start)
+            high = F.least(i, n - m + (e - i), n - size - start)
+            return F.when(low <= high, F.transform(
+                F.sequence(low, high), lambda s: _key(m, i, text, start + s, size))).otherwise(none)
 
+        last = F.lit(0) if threshold <= 50 else e
+        return F.flatten(F.transform(F.sequence(F.lit(0), last), of_segment))
 
-def _cut_pieces(text: Column, size: int, threshold: int) -> Column:
-    """Side-by-side pieces from the front, one more than the edits allowed."""
-    if not size:
-        return _all_pieces(text, 0)
-    return F.transform(
-        F.sequence(F.lit(0), _most_edits(F.length(text), threshold)),
-        lambda i: F.struct((i * size + 1).alias("at"),
-                           _padded_piece(text, i * size + 1, size).alias("piece")))
+    near = F.filter(lengths, lambda m: F.abs(n - m) <= edits_allowed(F.greatest(n, m), threshold))
+    return F.array_distinct(F.flatten(F.transform(near, of_length)))
 
 
 def _epoch_day(day: Column) -> Column:
@@ -194,8 +217,7 @@ def _probe(persons: DataFrame, link: LinkConfig) -> DataFrame:
 def exact_pairs(persons: DataFrame, refs: DataFrame, link: LinkConfig) -> DataFrame:
     """Each person with the references of the same first name, last name and birth date within
     the date window, or once without any."""
-    right = refs.select("*", F.explode(
-        _near_slots(F.col("reference_collection_date"), link.day_window)).alias("slot"))
+    right = _by_slot(refs, link)
     left = _probe(persons, link).alias("l")
     right = right.alias("r")
     same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("ref_dob", "slot")]
@@ -204,28 +226,61 @@ def exact_pairs(persons: DataFrame, refs: DataFrame, link: LinkConfig) -> DataFr
         "full", "slot", "ref_dob")
 
 
-def similar_pairs(persons: DataFrame, refs: DataFrame, link: LinkConfig) -> DataFrame:
-    """Pairs of a person and a reference at or above the threshold in either name order; pairs
-    may repeat. An inner join, so a birth date that many share may be split on either side."""
-    size, t = piece_length(link.threshold), link.threshold
-    left = _probe(persons.select(*PERSON), link).select("*", F.inline(_all_pieces(F.col("full"), size)))
-    right = refs.select(
-        "*", F.explode(F.array_distinct(F.array(
-            _full("first_name_clean_right", "last_name_clean_right"),
-            _full("last_name_clean_right", "first_name_clean_right")))).alias("ref_full"))
-    right = right.select("*", F.inline(_cut_pieces(F.col("ref_full"), size, t)).alias("ref_at", "piece"))
-    right = right.select("*", F.explode(
+def _by_slot(refs: DataFrame, link: LinkConfig) -> DataFrame:
+    return refs.select("*", F.explode(
         _near_slots(F.col("reference_collection_date"), link.day_window)).alias("slot"))
-    edits = edits_allowed(F.greatest(F.length("full"), F.length("ref_full")), t)
-    same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("ref_dob", "slot", "piece")]
-    close = [
-        _in_window(link.day_window),
-        F.abs(F.length("full") - F.length("ref_full")) <= edits,
-        F.abs(F.col("at") - F.col("ref_at")) <= edits,
-        F.call_function("levenshtein", F.col("full"), F.col("ref_full"), edits) >= 0,
-    ]
-    return left.alias("l").join(right.alias("r"), [*same, *close]).drop(
-        "full", "ref_full", "slot", "ref_dob", "piece", "at", "ref_at")
+
+
+def similar_pairs(persons: DataFrame, refs: DataFrame, link: LinkConfig,
+                  hot: HotKeys | None = None) -> DataFrame:
+    """Pairs of a person and a reference at or above the threshold in either name order; pairs
+    may repeat.
+
+    Both sides are first cut to the blocks (birth date, date slot) that the other has, the persons
+    learning which name lengths their block holds; only what is left is cut into segments. The
+    segment join is an inner join of two shuffles, so a key that many share may be split on either
+    side. ``hot`` are hot blocks of the persons.
+    """
+    return segment_matches(persons, refs, link, hot).filter(
+        F.call_function("levenshtein", F.col("full"), F.col("ref_full"), _edits(link)) >= 0
+    ).select(
+        F.expr("left(full, cut)").alias("first_name_clean"),
+        F.expr("substring(full, cut + 1)").alias("last_name_clean"),
+        "submitted_dob", "submitted_collection_date",
+        F.expr("IF(swapped, substring(ref_full, ref_cut + 1), left(ref_full, ref_cut))").alias("first_name_clean_right"),
+        F.expr("IF(swapped, left(ref_full, ref_cut), substring(ref_full, ref_cut + 1))").alias("last_name_clean_right"),
+        "reference_collection_date", "CASE_ID", "last_case_id")
+
+
+def _edits(link: LinkConfig) -> Column:
+    return edits_allowed(F.greatest(F.length("full"), F.length("ref_full")), link.threshold)
+
+
+def segment_matches(persons: DataFrame, refs: DataFrame, link: LinkConfig,
+                    hot: HotKeys | None = None) -> DataFrame:
+    """What meets in the segment index, before edits are counted."""
+    block, t = ["ref_dob", "slot"], link.threshold
+    probe = _probe(persons.select(*PERSON), link)
+    if hot is None:
+        hot = hot_keys(probe, block)
+    known = _by_slot(refs, link).join(probe.select(*block), block, "left_semi")
+    # a name has as many letters in either order
+    lengths = known.groupBy(*block).agg(F.collect_set(F.length(_full(
+        "first_name_clean_right", "last_name_clean_right"))).alias("lengths"))
+    left = lookup_join(probe, lengths, block, "inner", hot).select(
+        F.explode(probe_keys(F.col("full"), F.col("lengths"), t)).alias("key"), "full",
+        F.length("first_name_clean").alias("cut"), "submitted_dob", "submitted_collection_date")
+    first, last = F.col("first_name_clean_right"), F.col("last_name_clean_right")
+    orders = F.array(*[
+        F.struct(F.concat(a, b).alias("ref_full"), F.length(a).alias("ref_cut"), F.lit(swapped).alias("swapped"))
+        for a, b, swapped in ((first, last, False), (last, first, True))])
+    right = (known.select("*", F.inline(orders))
+             .filter(~F.col("swapped") | (F.concat(first, last) != F.concat(last, first)))
+             .select(F.explode(index_keys(F.col("ref_full"), t)).alias("key"), "ref_full", "ref_cut",
+                     "swapped", "ref_dob", "reference_collection_date", "CASE_ID", "last_case_id"))
+    return left.join(right, "key").filter(
+        (F.col("submitted_dob") == F.col("ref_dob")) & _in_window(link.day_window)
+        & (F.abs(F.length("full") - F.length("ref_full")) <= _edits(link)))
 
 
 def candidates(persons: DataFrame, refs: DataFrame, link: LinkConfig) -> DataFrame:
@@ -261,22 +316,24 @@ def _rank() -> Column:
     ))
 
 
-def link_persons(persons: DataFrame, refs: DataFrame, link: LinkConfig) -> DataFrame:
+def link_persons(persons: DataFrame, refs: DataFrame, link: LinkConfig,
+                 stage: Callable[..., DataFrame] = unstaged) -> DataFrame:
     """One row per distinct person that has a case at or above the threshold.
 
     Persons with a reference of equal names are settled by it; the others are compared. All
-    aggregates ignore repeated pairs.
+    aggregates ignore repeated pairs. ``stage`` writes what the equal names leave, so that the
+    comparison is planned with its true size.
     """
+    hot = hot_keys(_probe(persons, link).filter(complete()), ["ref_dob", "slot"])
     persons = persons.filter(complete()).select(*PERSON).distinct()
-    by_name = (
+    by_name = stage(
         _scored(exact_pairs(persons, refs, link)).groupBy(*PERSON)
         .agg(F.min(_rank()).alias("best"),
-             (F.min("CASE_ID") == F.max("last_case_id")).alias("one_case"))
-    )
+             (F.min("CASE_ID") == F.max("last_case_id")).alias("one_case")), "by_name")
     settled = by_name.filter(F.col("best").isNotNull())
     others = by_name.filter(F.col("best").isNull())
     compared = (
-        _scored(similar_pairs(others, refs, link)).groupBy(*PERSON).agg(F.min(_rank()).alias("best"))
+        _scored(similar_pairs(others, refs, link, hot)).groupBy(*PERSON).agg(F.min(_rank()).alias("best"))
         .withColumn("one_case", F.lit(False))
     )
     return settled.unionByName(compared).select(
@@ -313,18 +370,32 @@ class LinkResult:
         return self.rows.groupBy("bucket").agg(F.count("*").alias("submissions"))
 
 
+def bucket_metrics() -> list[Column]:
+    """How many rows of a link result are in each bucket, to be counted as it is written."""
+    return [F.count_if(F.col("bucket") == name).alias(name) for name in BUCKETS]
+
+
 def demographic_link(src: DataFrame, ref: DataFrame, link: LinkConfig | None = None,
                      src_columns: LinkColumns = SUBMITTED, ref_columns: LinkColumns = REGISTRY,
                      carry: Sequence[str] = ("internal_create_date",),
-                     hot: HotKeys | None = None) -> LinkResult:
+                     hot: HotKeys | None = None, stage: Callable[..., DataFrame] = unstaged,
+                     ) -> LinkResult:
     """Link source rows (one per submission) to registry cases.
 
+    ``ref`` is the registry, or already its ``reference_people``.
+
     Buckets: ``exact`` (both names equal, one case), ``fuzzy`` (at or above the threshold, for human
     review; includes equal names shared by several cases), ``unmatched`` and ``no_demo``.
     """
     link = link or LinkConfig()
     persons = people(src, src_columns, carry)
-    linked = link_persons(persons, reference_people(ref, ref_columns), link)
+    refs = ref if "last_case_id" in ref.columns else reference_people(ref, ref_columns)
+    return with_links(persons, link_persons(persons, refs, link, stage), carry, hot)
+
+
+def with_links(persons: DataFrame, linked: DataFrame, carry: Sequence[str] = (),
+               hot: HotKeys | None = None) -> LinkResult:
+    """Every row of ``persons`` with what its demographics link to."""
     keyed = persons.withColumn("_complete", complete())
     if hot is None:
         hot = hot_keys(persons, PERSON)

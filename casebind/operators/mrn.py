@@ -66,13 +66,21 @@ def id_unpivot(candidates: DataFrame) -> DataFrame:
     )
 
 
+def possible_numbers(candidates: DataFrame) -> DataFrame:
+    """Distinct (submission_number, MRN)."""
+    return id_unpivot(candidates).select(KEY, "MRN").distinct()
+
+
 def mrn_link(candidates: DataFrame, ref: DataFrame) -> DataFrame:
     """Distinct (submission_number, CASE_ID) that share a record number.
 
     Both sides are reduced to distinct pairs first. Each still needs its own shuffle on MRN,
     so the adaptive skew join may split a popular number on either side.
     """
-    ids = id_unpivot(candidates).select(KEY, "MRN").distinct()
+    return number_pairs(possible_numbers(candidates), ref)
+
+
+def number_pairs(ids: DataFrame, ref: DataFrame) -> DataFrame:
     return ids.join(case_mrns(ref), "MRN").select(KEY, "CASE_ID").distinct()
 
 

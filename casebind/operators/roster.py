@@ -101,7 +101,10 @@ def dedup_roster_row_wise(roster: DataFrame, ref: DataFrame) -> DataFrame:
 
 
 def union_rosters(main: DataFrame, rematch: DataFrame, reviewed: DataFrame, ref: DataFrame,
-                  run_date: dt.date) -> DataFrame:
-    """(main and rematch matches) as a de-duplicated roster, plus the reviewed roster."""
-    combined = create_roster(union_diagonal(main, rematch), ref, run_date)
+                  run_date: dt.date, cases: DataFrame | None = None) -> DataFrame:
+    """(main and rematch matches) as a de-duplicated roster, plus the reviewed roster.
+
+    ``cases`` has the person columns of ``ref`` without its labs, where that is at hand.
+    """
+    combined = create_roster(union_diagonal(main, rematch), ref if cases is None else cases, run_date)
     return union_all(not_in_registry(combined, ref), reviewed)

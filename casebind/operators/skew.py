@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SKETCH_LIMIT = 1_000_000  # items that the sketch function can follow
 _SALT, _HOT_KEY, _FAN = "_salt", "_hot_key", "_fan"
@@ -54,6 +55,15 @@ def same_types(a: DataFrame, b: DataFrame, on: Sequence[str]) -> tuple[DataFrame
                         if df.schema[f.name].dataType != f.dataType}) for df in (a, b))
 
 
+def _fanned(df: DataFrame, on: Sequence[str], hot: HotKeys) -> DataFrame:
+    """With the fan of its key, null where the key is not hot."""
+    rows = ",".join(f"({item}L,{fan})" for item, fan in hot)
+    # no more literal rows than the shuffle has partitions
+    table = df.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS t({_HOT_KEY}, {_FAN})")
+    return (df.withColumn(_HOT_KEY, _key_hash(on))
+            .join(F.broadcast(table), _HOT_KEY, "left").drop(_HOT_KEY))
+
+
 def lookup_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left",
                 hot: HotKeys | None = None) -> DataFrame:
     """Join many ``facts`` rows to few ``lookup`` rows per key, with hot keys spread out.
@@ -80,17 +90,8 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str
     width = F.lit(_shuffle_width(facts))
     columns = [f"`{c}`" for c in facts.columns]
     if hot:
-        rows = ",".join(f"({item}L,{fan})" for item, fan in hot)
-        hot_table = facts.sparkSession.sql(
-            f"SELECT * FROM VALUES {rows} AS t({_HOT_KEY}, {_FAN})")
-
-        def fanned(df):
-            # no more literal rows than the shuffle has partitions
-            return (df.withColumn(_HOT_KEY, _key_hash(on))
-                    .join(F.broadcast(hot_table), _HOT_KEY, "left").drop(_HOT_KEY))
-
-        facts = fanned(facts)
-        lookup = fanned(lookup).withColumn(
+        facts = _fanned(facts, on, hot)
+        lookup = _fanned(lookup, on, hot).withColumn(
             _SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_FAN), F.lit(1)) - 1))
         ).drop(_FAN)
         fan = F.coalesce(F.col(_FAN), F.lit(1))
@@ -102,3 +103,31 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str
     salt = F.when(fan > 1, F.pmod(spread, fan)).otherwise(0).cast("int")
     salted = facts.withColumn(_SALT, salt).select(*columns, _SALT)
     return salted.join(lookup, [*on, _SALT], how).drop(_SALT)
+
+
+def outer_join_many(keys: DataFrame, facts: DataFrame, on: str) -> DataFrame:
+    """Left outer join of ``keys`` to ``facts`` that may have many rows a key, hot ones spread out.
+
+    The rows of a hot key are dealt to salts by a hash of the row. Which of its salts hold rows is
+    counted for the hot keys alone (no more than two numbers for each partition of the shuffle),
+    and the key is repeated for exactly those: every copy of it meets a row, so that a key without
+    any is told in the same shuffle, without a second look at ``facts``. Null keys meet nothing
+    and are spread as well.
+    """
+    facts, keys = same_types(facts, keys, [on])
+    own, rest = [f"`{c}`" for c in keys.columns], [f"`{c}`" for c in facts.columns]
+    width, salts = F.lit(_shuffle_width(keys)), F.array(F.lit(0))
+    hot = hot_keys(facts, [on])
+    if hot:
+        salt = F.pmod(F.xxhash64(*rest), F.coalesce(F.col(_FAN), F.lit(1))).cast("int")
+        facts = _fanned(facts, [on], hot).withColumn(_SALT, salt)
+        held = (facts.filter(F.col(_FAN).isNotNull() & F.col(on).isNotNull())
+                .groupBy(on).agg(F.collect_set(_SALT).alias(_FAN)).collect())
+        copies = keys.sparkSession.createDataFrame(held, keys.select(on).schema.add(_FAN, T.ArrayType(T.IntegerType())))
+        facts, keys = facts.select(*rest, _SALT), keys.join(F.broadcast(copies), on, "left")
+        salts = F.coalesce(F.col(_FAN), salts)
+    else:
+        facts = facts.withColumn(_SALT, F.lit(0))
+    alone = F.array(F.pmod(F.xxhash64(*own), width).cast("int"))
+    keys = keys.select(*own, F.explode(F.when(F.col(on).isNull(), alone).otherwise(salts)).alias(_SALT))
+    return keys.join(facts, [on, _SALT], "left").drop(_SALT)

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebind import settings as S
-from casebind.operators import linkage, mrn, quality, roster
+from casebind.operators import delta, linkage, mrn, quality, roster
+from casebind.operators.delta import Compared
 from casebind.operators.frames import keep_one, union_diagonal
 from casebind.operators.history import not_yet_rostered
 from casebind.operators.linkage import LinkResult
@@ -21,7 +22,7 @@ from casebind.operators.skew import HotKeys, hot_keys, lookup_join
 from casebind.operators.standardize import as_date, standardize
 from casebind.settings import EngineConfig
 from casebind.sources import tables
-from casebind.sources.staging import unstaged
+from casebind.sources.staging import Told, staged_and_counted, unstaged
 
 KEY = "submission_number"
 Stage = Callable[..., DataFrame]
@@ -31,7 +32,10 @@ Stage = Callable[..., DataFrame]
 class PullResult:
     submissions: DataFrame
     received: DataFrame
-    registry: DataFrame
+    registry: DataFrame  # every case with each of its labs
+    cases: DataFrame     # one row per case: for what no lab column is needed
+    people: DataFrame    # distinct demographics of the registry
+    told: Told           # ``rows`` of the submissions
 
 
 @dataclass(frozen=True)
@@ -48,6 +52,8 @@ class MatchResult:
     link: LinkResult
     linked: DataFrame
     id_matched: DataFrame
+    triage: Told  # submissions by bucket
+    first: Compared | None = None  # what was compared for the first time
 
     def bucket(self, name: str) -> DataFrame:
         return self.linked.filter(F.col("bucket") == name).drop("bucket")
@@ -67,20 +73,31 @@ class ReviewResult:
     sheets: DataFrame
     reviewed: DataFrame
     roster: DataFrame
+    rejects: DataFrame | None = None  # lines of sheets that could not be read
 
 
 def pull(submissions: DataFrame, wizard: DataFrame, investigation: DataFrame,
          config: EngineConfig, stage: Stage = unstaged) -> PullResult:
-    """The sources, each read once when staged: later stages all see the same rows."""
+    """The sources, each read once when staged: later stages all see the same rows.
+
+    Cases and labs are written as they are read and only then joined, so that a case of a source
+    that changes meanwhile is in one state everywhere.
+    """
     if config.cutoff is not None:
         submissions = tables.submissions_since(submissions, config.cutoff)
     if config.case_code is not None:
         wizard = tables.cases_by_code(wizard, config.case_code)
-    receipt = tables.raw_receipt(stage(submissions, "raw"), config.primary_key, config.run_date)
+    raw, told = staged_and_counted(submissions, stage, "raw")
+    receipt = tables.raw_receipt(raw, config.primary_key, config.run_date)
+    cases, labs = stage(wizard, "cases"), stage(investigation, "labs")
+    registry = stage(tables.ref_assemble(cases, labs), "registry")
     return PullResult(
         submissions=tables.receipt_unnest(receipt),
         received=tables.receipt_as_json(receipt),
-        registry=stage(tables.ref_assemble(wizard, investigation), "registry"),
+        registry=registry,
+        cases=cases,
+        people=stage(linkage.reference_people(registry), "people"),
+        told=told,
     )
 
 
@@ -102,7 +119,8 @@ def _hot_people(raw: DataFrame) -> HotKeys:
 
 
 def require_submissions(pulled: PullResult) -> None:
-    if pulled.submissions.isEmpty():
+    """The rows were counted as they were written, so no job is started for this."""
+    if not pulled.told()["rows"]:
         raise ValueError("there are no submissions to match")
 
 
@@ -110,40 +128,56 @@ def match(pulled: PullResult, wrangled: WrangleResult, config: EngineConfig,
           stage: Stage = unstaged) -> MatchResult:
     require_submissions(pulled)
     link = linkage.demographic_link(
-        wrangled.to_link, pulled.registry, config.link,
-        carry=["internal_create_date", *mrn.ID_FIELDS], hot=_hot_people(pulled.submissions))
-    link = LinkResult(stage(link.rows, "link"))
+        wrangled.to_link, pulled.people, config.link,
+        carry=["internal_create_date", *mrn.ID_FIELDS], hot=_hot_people(pulled.submissions), stage=stage)
+    rows, triage = staged_and_counted(link.rows, stage, "link", *linkage.bucket_metrics())
+    link = LinkResult(rows)
     scores = LinkResult(link.rows.drop(*mrn.ID_FIELDS))
     linked = stage(
         linkage.attach_original(scores, wrangled.clean, wrangled.hot, S.STANDARD_COLUMNS),
         "linked", ["bucket"])
-    pairs = mrn.mrn_link(mrn.mrn_candidates(link), pulled.registry)
+    pairs = mrn.mrn_link(mrn.mrn_candidates(link), pulled.cases)
     by_id = mrn.id_matched_full(
         pairs, linked.filter(F.col("bucket").isin("unmatched", "no_demo")),
         config.run_date, wrangled.hot)
-    return MatchResult(link, linked, stage(by_id, "id_matched"))
+    return MatchResult(link, linked, stage(by_id, "id_matched"), triage)
 
 
 def rematch(no_match: DataFrame, rostered: DataFrame, pulled: PullResult, config: EngineConfig,
-            stage: Stage = unstaged) -> MatchResult:
+            stage: Stage = unstaged, seen: Compared | None = None) -> MatchResult:
     """Try the open non-matches of earlier runs, but those rostered since, against today's
-    registry."""
-    history = not_yet_rostered(tables.open_non_matches(no_match), rostered)
+    registry.
+
+    With ``seen``, what was compared before without a match is not compared again: known
+    non-matches meet only the registry rows that are new or changed.
+    """
+    history = stage(not_yet_rostered(tables.open_non_matches(no_match), rostered), "history")
     hot = hot_keys(history, [KEY])
     people = stage(
         keep_one(history.select(KEY, "internal_create_date", *linkage.PERSON), [KEY]), "rematch_input")
-    link = linkage.demographic_link(
-        people, pulled.registry, config.link, src_columns=linkage.LEDGER,
-        hot=hot_keys(history, linkage.PERSON))
-    link = LinkResult(stage(link.rows, "rematch_link"))
+    persons = linkage.people(people, linkage.LEDGER, ["internal_create_date"])
+    hot_people = hot_keys(people, linkage.PERSON)
+    if seen is None:
+        found = linkage.link_persons(persons, pulled.people, config.link, stage)
+    else:
+        found, new_persons, new_people = delta.delta_links(persons, pulled.people, seen, config.link, stage)
+    rows, triage = staged_and_counted(
+        linkage.with_links(persons, found, ["internal_create_date"], hot_people).rows, stage,
+        "rematch_link", *linkage.bucket_metrics())
+    link = LinkResult(rows)
     linked = stage(
         linkage.attach_original(link, history, hot, S.STANDARD_COLUMNS), "rematch_linked", ["bucket"])
-    ids = mrn.mrn_recover(
-        link.bucket("unmatched", "no_demo"), pulled.submissions, config.primary_key)
+    ids = mrn.possible_numbers(mrn.mrn_recover(
+        link.bucket("unmatched", "no_demo"), pulled.submissions, config.primary_key))
+    if seen is None:
+        pairs, first = mrn.number_pairs(ids, pulled.cases), None
+    else:
+        pairs, new_ids, new_numbers = delta.delta_number_links(
+            stage(ids, "rematch_ids"), pulled.cases, seen, stage)
+        first = Compared(new_persons, new_people, new_numbers, new_ids)
     by_id = mrn.id_matched_full(
-        mrn.mrn_link(ids, pulled.registry),
-        linked.filter(F.col("bucket").isin("unmatched", "no_demo")), config.run_date, hot)
-    return MatchResult(link, linked, stage(by_id, "rematch_id_matched"))
+        pairs, linked.filter(F.col("bucket").isin("unmatched", "no_demo")), config.run_date, hot)
+    return MatchResult(link, linked, stage(by_id, "rematch_id_matched"), triage, first)
 
 
 def review_merge(review_ledger: DataFrame, sheets: DataFrame) -> DataFrame:
@@ -153,14 +187,14 @@ def review_merge(review_ledger: DataFrame, sheets: DataFrame) -> DataFrame:
 
 
 def review(review_ledger: DataFrame, rostered: DataFrame, sheets: DataFrame,
-           registry: DataFrame, config: EngineConfig) -> ReviewResult:
+           pulled: PullResult, config: EngineConfig) -> ReviewResult:
     """A sheet that stays where it was read from is rostered once only."""
     reviewed = review_merge(not_yet_rostered(review_ledger, rostered), sheets)
-    rows = roster.create_roster(reviewed, registry, config.run_date)
-    return ReviewResult(sheets, reviewed, roster.not_in_registry(rows, registry))
+    rows = roster.create_roster(reviewed, pulled.cases, config.run_date)
+    return ReviewResult(sheets, reviewed, roster.not_in_registry(rows, pulled.registry))
 
 
 def final_roster(main: MatchResult, again: MatchResult, reviews: ReviewResult,
-                 registry: DataFrame, config: EngineConfig) -> DataFrame:
+                 pulled: PullResult, config: EngineConfig) -> DataFrame:
     return roster.union_rosters(
-        main.matched, again.matched, reviews.roster, registry, config.run_date)
+        main.matched, again.matched, reviews.roster, pulled.registry, config.run_date, pulled.cases)

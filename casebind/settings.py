@@ -199,7 +199,23 @@ NO_MATCH_COLUMNS = _KEY + [
     "first_name_clean", "last_name_clean",
 ] + STANDARD_COLUMNS + ["match_found"]
 
-LEDGER_SCHEMAS = {
+#: What earlier runs have compared, for retries against what is new.
+COMPARED_SCHEMAS = {
+    "compared_persons": "rule string, first_name_clean string, last_name_clean string, submitted_dob date, "
+                        "submitted_collection_date date",
+    "compared_people": "rule string, first_name_clean_right string, last_name_clean_right string, ref_dob date, "
+                       "reference_collection_date date, CASE_ID bigint, last_case_id bigint",
+    "compared_numbers": "CASE_ID bigint, MRN string",
+    "compared_candidates": "submission_number string, MRN string",
+}
+#: The cumulative roster as the last run left it.
+CUMULATIVE = "cumulative_roster_snapshot"
+KEPT_SCHEMAS = COMPARED_SCHEMAS | {CUMULATIVE: schema_for(CUMULATIVE_COLUMNS) + ", through int"}
+#: Tables whose rows are open until this flag is set.
+MATCH_FLAG = "match_found"
+FLAGGED_TABLES = ("no_match_tbl", "unmatched_resp")
+
+LEDGER_SCHEMAS = KEPT_SCHEMAS | {
     "received_submissions": schema_for(_KEY + ["raw_inbound_submission"]),
     "qa_tbl": schema_for(_KEY + STANDARD_COLUMNS + _QA_FLAGS),
     "no_match_tbl": schema_for(NO_MATCH_COLUMNS),
@@ -233,7 +249,7 @@ CATALOG_ROUTES = [
     ("no_demo", "no_demo_resp"),
     ("exact", "exact_matched_resp"),
 ]
-CATALOG_SCHEMAS = {
+CATALOG_SCHEMAS = KEPT_SCHEMAS | {
     "qa_tbl_resp": LEDGER_SCHEMAS["qa_tbl"],
     "received_submissions_resp": LEDGER_SCHEMAS["received_submissions"],
     "unmatched_resp": LEDGER_SCHEMAS["no_match_tbl"],

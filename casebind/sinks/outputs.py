@@ -59,8 +59,12 @@ class OutputFolder:
     def roster(self, roster: DataFrame) -> None:
         write_csv(roster_text(roster), self.path("subtype_roster"))
 
-    def cumulative_roster(self, rostered: DataFrame) -> None:
-        write_csv(cumulative_roster(rostered), self.path("cumulative_subtype_roster"))
+    def cumulative_roster(self, roster: DataFrame) -> None:
+        write_csv(roster, self.path("cumulative_subtype_roster"))
+
+    def review_rejects(self, rejects: DataFrame) -> None:
+        """Lines of review sheets that could not be read, as they came."""
+        write_csv(rejects, self.path("qa/review_rejects"))
 
     def form_updates(self, updates: DataFrame) -> None:
         form_updates_text(updates).write.option("ignoreNullFields", False).json(

@@ -5,9 +5,12 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+Told = Callable[[], dict]
 
 
 @functools.cache
@@ -43,3 +46,24 @@ def staged(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataF
 def unstaged(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Leave the plan whole, for a caller that needs one lazy frame."""
     return df
+
+
+def counted(df: DataFrame, *metrics: Column) -> tuple[DataFrame, Told]:
+    """``df`` that counts its rows (``rows``), and other aggregates, as it is computed.
+
+    What the second result returns is there once the frame has been written: metrics travel with
+    the tasks of that job, so they cost none of their own. It waits until then.
+    """
+    observation = Observation()
+    seen = df.observe(observation, F.count(F.lit(1)).alias("rows"), *metrics)
+    return seen, lambda: observation.get
+
+
+def staged_and_counted(df: DataFrame, stage: Callable[..., DataFrame], label: str,
+                       *metrics: Column) -> tuple[DataFrame, Told]:
+    """``stage(df, label)`` and its metrics: told by the write, or asked for if there was none."""
+    seen, told = counted(df, *metrics)
+    out = stage(seen, label)
+    if out is not seen:
+        return out, told
+    return df, lambda: df.agg(F.count(F.lit(1)).alias("rows"), *metrics).first().asDict()

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from casebind import settings as S
-from casebind.operators.skew import lookup_join, same_types
+from casebind.operators.skew import outer_join_many
+from casebind.sources.staging import staged
 
 RECEIPT = "raw_inbound_submission"
 # the review sheet as people send it back
@@ -37,16 +39,11 @@ def cases_by_code(df: DataFrame, code: str = S.DEFAULT_CASE_CODE) -> DataFrame:
 
 
 def ref_assemble(wizard: DataFrame, investigation: DataFrame) -> DataFrame:
-    """Every case with each of its labs; cases without a lab stay."""
+    """Every case with each of its labs; cases without a lab stay. One shuffle of either side."""
     clash = [c for c in investigation.columns if c in wizard.columns and c != "CASE_ID"]
     labs = investigation.withColumnsRenamed({c: f"{c}_right" for c in clash})
-    # the labs are the side with many rows a case, so they are the one to spread
-    labs, cases = same_types(labs, wizard, ["CASE_ID"])
-    with_labs = lookup_join(labs, cases, ["CASE_ID"], "inner")
-    without = cases.join(labs.select("CASE_ID").distinct(), "CASE_ID", "left_anti")
     columns = [*wizard.columns, *(c for c in labs.columns if c != "CASE_ID")]
-    return (with_labs.select(*[f"`{c}`" for c in columns])
-            .unionByName(without, allowMissingColumns=True)
+    return (outer_join_many(wizard, labs, "CASE_ID").select(*[f"`{c}`" for c in columns])
             .withColumnRenamed("SPECIMEN__COLLECTION__DTTM", "SPECIMEN_COLLECTION_DTTM"))
 
 
@@ -73,13 +70,38 @@ def receipt_as_json(receipt: DataFrame) -> DataFrame:
         RECEIPT, F.to_json(F.col(RECEIPT), {"ignoreNullFields": "false"}))
 
 
-def review_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Completed review sheets under a glob; none gives an empty frame of the same schema."""
+REJECT = "_rejected_line"
+
+
+def _matches(spark: SparkSession, path: str) -> bool:
     pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
     found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
-    if found is None or len(found) == 0:
-        return spark.createDataFrame([], REVIEW_CSV_SCHEMA)
-    return spark.read.csv(path, header=True, schema=REVIEW_CSV_SCHEMA, enforceSchema=False)
+    return found is not None and len(found) > 0
+
+
+def review_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Completed review sheets under a glob; none gives an empty frame of the same schema."""
+    return review_sheets(spark, path)[0]
+
+
+def review_sheets(spark: SparkSession, path: str, stage: Callable[..., DataFrame] = staged,
+                  ) -> tuple[DataFrame, DataFrame]:
+    """Completed review sheets under a glob, and the lines that are none: (rows, rejects).
+
+    A line with a cell that is not of its column's type (a date that a spreadsheet rewrote, say)
+    or with too few or many cells is no row with a null in it but a reject: the line as it
+    stands, and its file. The lines are written once before they are told apart, as what counts
+    as malformed depends on the columns that are read.
+    """
+    rejects = f"file string, {REJECT} string"
+    if not _matches(spark, path):
+        return spark.createDataFrame([], REVIEW_CSV_SCHEMA), spark.createDataFrame([], rejects)
+    read = spark.read.csv(
+        path, header=True, schema=f"{REVIEW_CSV_SCHEMA}, {REJECT} string", enforceSchema=False,
+        mode="PERMISSIVE", columnNameOfCorruptRecord=REJECT)
+    lines = stage(read.withColumn("file", F.col("_metadata.file_path")), "review_lines")
+    return (lines.filter(F.col(REJECT).isNull()).drop(REJECT, "file"),
+            lines.filter(F.col(REJECT).isNotNull()).select("file", REJECT))
 
 
 def form_records(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:

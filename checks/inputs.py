@@ -97,7 +97,7 @@ class Inputs:
     @cached_property
     def reviews(self) -> stages.ReviewResult:
         return stages.review(
-            self.review_ledger, self.rostered, self.sheets, self.registry, CONFIG)
+            self.review_ledger, self.rostered, self.sheets, self.pulled, CONFIG)
 
     @cached_property
     def ledgers(self) -> dict[str, DataFrame]:

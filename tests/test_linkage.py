@@ -62,7 +62,7 @@ def noisy(rng, name):
 
 
 @pytest.mark.parametrize("threshold", [55, 70, 80, 90, 100])
-def test_pieces_miss_no_pair(spark, threshold):
+def test_segments_miss_no_pair(spark, threshold):
     """Short names over few letters: many near pairs of every length."""
     rng = random.Random(threshold)
     names = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 9))) for _ in range(24)]
@@ -86,12 +86,52 @@ def test_pieces_miss_no_pair(spark, threshold):
 def test_low_thresholds_compare_whole_blocks(spark):
     src = [("s1", "ab", "cd", DAY, DAY)]
     ref = [(1, "xy", "cd", DAY, DAY), (2, "xy", "zz", DAY, DAY)]
-    assert L.piece_length(50) == 0 and L.piece_length(80) == 3
     row = L.demographic_link(spark.createDataFrame(src, SRC), spark.createDataFrame(ref, REF),
                              LinkConfig(threshold=50), carry=[]).rows.first()
     assert (row["bucket"], row["CASE_ID"], row["match_ratio"]) == ("fuzzy", 1, 50.0)
 
 
+@pytest.mark.parametrize("threshold", [51, 60, 67, 75, 80, 85, 92, 100])
+def test_probes_meet_every_near_name(spark, threshold):
+    """Key against key: all pairs of short names over two letters, of every length and shift."""
+    rng = random.Random(threshold)
+    names = list({"".join(rng.choice("ab") for _ in range(rng.randint(1, 14))) for _ in range(160)})
+    frame = spark.createDataFrame([(n,) for n in names], "name string").select(
+        "name", F.lit(DAY).alias("ref_dob"), F.lit(1).alias("slot"))
+    lengths = F.array(*[F.lit(n) for n in sorted({len(n) for n in names})])
+    right = frame.select(F.col("name").alias("b"), F.explode(L.index_keys(F.col("name"), threshold)).alias("key"))
+    left = frame.select(F.col("name").alias("a"), F.explode(L.probe_keys(F.col("name"), lengths, threshold)).alias("key"))
+    met = {tuple(r) for r in left.join(right, "key").select("a", "b").distinct().collect()}
+    near = {(a, b) for a in names for b in names if score(a, b) >= threshold - 1e-9}
+    assert near <= met
+
+
+def test_segments_spare_comparisons(spark):
+    """On one birth date of many similar names: far fewer rows meet than over letter triples."""
+    rng = random.Random(2)
+    syllables = ["ma", "ri", "an", "jo", "el", "le", "na", "ro", "ta", "si", "ko", "ber", "son", "man", "ley", "ton"]
+
+    def name():
+        return "".join(rng.choice(syllables) for _ in range(rng.randint(2, 4)))
+
+    ref = [(i, name(), name(), DAY, DAY) for i in range(1500)]
+    src = [(f"s{i}", name(), noisy(rng, ref[i][2]), DAY, DAY) for i in range(1500)]
+    persons = L.people(spark.createDataFrame(src, SRC), carry=[]).filter(L.complete()).select(*L.PERSON).distinct()
+    refs = L.reference_people(spark.createDataFrame(ref, REF))
+    link = LinkConfig()
+    compared = L.segment_matches(persons, refs, link).count()
+    full = {(a, b) for a, b in {(r["first_name_clean"], r["last_name_clean"]) for r in persons.collect()}}
+    others = [(a, b) for _, a, b, _, _ in ref]
+    triples = {}
+    for f, l in others:
+        for n in {f + l, l + f}:
+            for i in range(len(n) * 20 // 80 + 1):
+                triple = (n + "$$")[3 * i:3 * i + 3]
+                triples[triple] = triples.get(triple, 0) + 1
+    by_triples = sum(triples.get((f + l + "$$")[at:at + 3], 0) for f, l in full for at in range(len(f + l)))
+    assert compared * 8 < by_triples
+
+
 def test_buckets(spark):
     src = [
         ("one", "Ann", "Lee", DAY, DAY), ("swap", "Lee", "Ann", DAY, DAY),
@@ -140,7 +180,8 @@ def test_many_on_one_birth_date(spark):
     assert linked.filter("bucket = 'fuzzy' AND CASE_ID = CAST(submission_number AS BIGINT)").count() == 3000
     persons = L.people(src, carry=[])
     pairs = L.similar_pairs(persons, L.reference_people(ref), LinkConfig())
-    assert "LeftOuter" not in plan_of(pairs)
+    # outer joins are only those with the broadcast list of hot blocks
+    assert all("Broadcast" in line for line in plan_of(pairs).splitlines() if "LeftOuter" in line)
 
 
 def test_copies_do_not_multiply_pairs(spark):
