@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from casebind import settings as S
 from casebind.operators import forms as form_ops
 from casebind.operators import linkage, mrn
-from casebind.operators.delta import Compared, link_rule
+from casebind.operators.delta import CANDIDATE, Compared, link_rule, unseen
 from casebind.operators.frames import union_diagonal
 from casebind.plans import stages
 from casebind.plans.stages import KEY, MatchResult, PullResult, ReviewResult, WrangleResult
@@ -56,6 +56,7 @@ class RunResult:
     again: MatchResult
     reviews: ReviewResult
     roster: DataFrame
+    seen: Compared | None = None  # what earlier runs compared, if retries made use of it
     report: dict | None = None  # what was counted on the way, once written
     run_id: str = field(default_factory=lambda: f"{dt.datetime.now():%H%M%S}-{uuid.uuid4().hex[:8]}")
 
@@ -86,17 +87,15 @@ class RunResult:
     def newly_compared(self, config: EngineConfig) -> dict[str, DataFrame]:
         """What this run compared first: registry rows and retried submissions as the retry told
         them, and the submissions of today that stay open."""
-        if self.again.first is None:
+        if self.seen is None:
             return {}
-        rule, new = F.lit(link_rule(config.link)).alias("rule"), self.again.first
-        link = self.main.link
-        persons = link.unmatched.select(*linkage.PERSON).distinct()
+        rule, new, link = F.lit(link_rule(config.link)).alias("rule"), self.again.first, self.main.link
         numbers = mrn.possible_numbers(mrn.mrn_candidates(link))
-        rows = Compared(
-            persons=union_diagonal(new.persons, persons).distinct().select(rule, "*"),
+        today = link.unmatched.select(*linkage.PERSON)
+        return Compared(
+            persons=unseen(union_diagonal(new.persons, today), self.seen.persons, linkage.PERSON).select(rule, "*"),
             people=new.people.select(rule, "*"), numbers=new.numbers,
-            candidates=union_diagonal(new.candidates, numbers).distinct())
-        return rows.tables()
+            candidates=unseen(union_diagonal(new.candidates, numbers), self.seen.candidates, CANDIDATE)).tables()
 
     def resolved_keys(self) -> DataFrame:
         """Old non-matches that have a case or a review row now."""
@@ -158,7 +157,7 @@ def plan(inputs: Inputs, ledger_tables, config: EngineConfig, stage=staged,
     reviews = dataclasses.replace(stages.review(
         ledger_tables(config.deployment.reviews), rostered, sheets, pulled, config), rejects=rejects)
     final = stage(stages.final_roster(main, again, reviews, pulled, config), "roster")
-    return RunResult(pulled, wrangled, main, again, reviews, final)
+    return RunResult(pulled, wrangled, main, again, reviews, final, seen)
 
 
 def run(inputs: Inputs, ledger: Ledger, folder: str, config: EngineConfig,

@@ -36,6 +36,7 @@ class PullResult:
     cases: DataFrame     # one row per case: for what no lab column is needed
     people: DataFrame    # distinct demographics of the registry
     told: Told           # ``rows`` of the submissions
+    told_of: DataFrame   # the frame these were counted of
 
 
 @dataclass(frozen=True)
@@ -91,13 +92,15 @@ def pull(submissions: DataFrame, wizard: DataFrame, investigation: DataFrame,
     receipt = tables.raw_receipt(raw, config.primary_key, config.run_date)
     cases, labs = stage(wizard, "cases"), stage(investigation, "labs")
     registry = stage(tables.ref_assemble(cases, labs), "registry")
+    unnested = tables.receipt_unnest(receipt)
     return PullResult(
-        submissions=tables.receipt_unnest(receipt),
+        submissions=unnested,
         received=tables.receipt_as_json(receipt),
         registry=registry,
         cases=cases,
         people=stage(linkage.reference_people(registry), "people"),
         told=told,
+        told_of=unnested,
     )
 
 
@@ -119,8 +122,10 @@ def _hot_people(raw: DataFrame) -> HotKeys:
 
 
 def require_submissions(pulled: PullResult) -> None:
-    """The rows were counted as they were written, so no job is started for this."""
-    if not pulled.told()["rows"]:
+    """The rows were counted as they were written, so no job is started for this, unless they
+    were replaced since."""
+    known = pulled.submissions is pulled.told_of
+    if not pulled.told()["rows"] if known else pulled.submissions.isEmpty():
         raise ValueError("there are no submissions to match")
 
 
