@@ -41,7 +41,7 @@ class Compared:
 
 def link_rule(link: LinkConfig) -> str:
     """What a comparison depends on besides its rows; rows compared under another rule do not count."""
-    return f"{link.threshold}/{link.day_window}"
+    return f"{link.threshold}/{link.day_window}/{int(link.birth_date_slips)}"
 
 
 def unseen(rows: DataFrame, seen: DataFrame, on: Sequence[str]) -> DataFrame:

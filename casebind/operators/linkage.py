@@ -283,6 +283,31 @@ def segment_matches(persons: DataFrame, refs: DataFrame, link: LinkConfig,
         & (F.abs(F.length("full") - F.length("ref_full")) <= _edits(link)))
 
 
+def _near_birth_dates(a: Column, b: Column) -> Column:
+    """One digit differs, or day and month have changed places."""
+    digits = [F.date_format(c, "yyyyMMdd") for c in (a, b)]
+    swapped = (F.year(a) == F.year(b)) & (F.month(a) == F.day(b)) & (F.day(a) == F.month(b))
+    return (a != b) & (swapped | (F.levenshtein(*digits) == 1))
+
+
+def birth_date_slips(persons: DataFrame, refs: DataFrame, link: LinkConfig) -> DataFrame:
+    """Pairs at or above the threshold whose birth dates differ by a slip: the second pass.
+
+    Blocks are (last name, sound of the first name, date slot), as the birth date cannot serve:
+    names that differ in the last name, or sound different, are not found. An equi join of both
+    sides' distinct demographics.
+    """
+    left = _probe(persons.select(*PERSON), link).drop("ref_dob", "full").withColumns({
+        "last": F.col("last_name_clean"), "sound": F.soundex("first_name_clean")})
+    right = _by_slot(refs, link).withColumns({
+        "last": F.col("last_name_clean_right"), "sound": F.soundex("first_name_clean_right")})
+    names = [F.col(c) for c in ("first_name_clean", "last_name_clean",
+                                "first_name_clean_right", "last_name_clean_right")]
+    return left.join(right, ["last", "sound", "slot"]).filter(
+        _in_window(link.day_window) & _near_birth_dates(F.col("submitted_dob"), F.col("ref_dob"))
+        & (match_ratio(*names) >= link.threshold)).drop("last", "sound", "slot", "ref_dob")
+
+
 def candidates(persons: DataFrame, refs: DataFrame, link: LinkConfig) -> DataFrame:
     """Distinct pairs of demographics at or above the threshold, with their scores."""
     pairs = similar_pairs(persons.select(*PERSON).distinct(), refs, link)
@@ -336,6 +361,10 @@ def link_persons(persons: DataFrame, refs: DataFrame, link: LinkConfig,
         _scored(similar_pairs(others, refs, link, hot)).groupBy(*PERSON).agg(F.min(_rank()).alias("best"))
         .withColumn("one_case", F.lit(False))
     )
+    if link.birth_date_slips:
+        left = others.join(compared, PERSON, "left_anti")
+        slips = _scored(birth_date_slips(left, refs, link)).groupBy(*PERSON).agg(F.min(_rank()).alias("best"))
+        compared = compared.unionByName(slips.withColumn("one_case", F.lit(False)))
     return settled.unionByName(compared).select(
         *PERSON, *[F.col(f"best.{c}").alias(c) for c in MATCH],
         F.when(F.col("one_case"), "exact").otherwise("fuzzy").alias("bucket"))

@@ -287,10 +287,15 @@ CATALOG = Deployment(
 
 @dataclass(frozen=True)
 class LinkConfig:
-    """Demographic linkage: 100 is an exact name, days count both ways."""
+    """Demographic linkage: 100 is an exact name, days count both ways.
+
+    ``birth_date_slips`` sends persons that nothing else links through a second pass, which
+    proposes cases with a mistyped birth date for review.
+    """
 
     threshold: int = 80
     day_window: int = 5
+    birth_date_slips: bool = False
 
 
 @dataclass(frozen=True)

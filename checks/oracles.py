@@ -315,13 +315,31 @@ def with_parts(sql: str) -> str:
     return f"WITH {ctes}\n{sql}" if ctes else sql
 
 
-def _project(columns: str) -> str:
-    return f"SELECT PHLAccessionNumber, {columns} FROM submissions"
+def _by_key(name: str, rows: str, closed: str = "0", key: str = "submission_number") -> str:
+    return f"""SELECT '{name}' AS name, CAST({key} AS VARCHAR) AS key, count(*) AS n, CAST({closed} AS BIGINT) AS closed
+FROM {rows} x GROUP BY CAST({key} AS VARCHAR)"""
+
+
+def _grown(table: str, *batches: str) -> str:
+    """A ledger after batches have been appended, each without the keys that are there by then."""
+    rows = f"SELECT submission_number, 0 AS step FROM {table}"
+    for step, batch in enumerate(batches, 1):
+        rows = f"""SELECT * FROM ({rows}) UNION ALL SELECT submission_number, {step} FROM {batch}
+ WHERE submission_number NOT IN (SELECT submission_number FROM ({rows}))"""
+    return f"({rows})"
 
 
-def _counts(part: str, name: str) -> str:
-    return f"""SELECT WDRS_RESULT, WDRS_RESULT_SUMMARY, count(*) AS analytes,
- count(DISTINCT submission_number) AS submissions, '{name}' AS part FROM {part} GROUP BY ALL"""
+def _soundex(name: str) -> str:
+    """The sound of a name of the letters a to z: h and w are not heard, equal codes in a row count once."""
+    code = f"translate({name}, 'abcdefghijklmnopqrstuvwxyz', '01230127022455012623017202')"
+    heard = f"(substr({code}, 1, 1) || replace(substr({code}, 2), '7', ''))"
+    for digit in "0123456":
+        heard = f"regexp_replace({heard}, '{digit}+', '{digit}', 'g')"
+    return f"upper(substr({name}, 1, 1)) || rpad(left(replace(substr({heard}, 2), '0', ''), 3), 3, '0')"
+
+
+def _project(columns: str) -> str:
+    return f"SELECT PHLAccessionNumber, {columns} FROM submissions"
 
 
 def _absent(bucket: str, target: str, ledger: str) -> str:
@@ -521,7 +539,8 @@ UNION ALL SELECT submission_number, NULL, WDRS_RESULT, NULL, match_found FROM no
     "slot_fill": f"SELECT CaseID, {SLOT_NAMES} FROM ledger_form_filled",
     "form_updates": "SELECT * FROM ledger_form_updates",
     "pull": f"SELECT {', '.join(RAW)} FROM raw",
-    "wrangle": f"{_counts('clean', 'clean')} UNION ALL {_counts('issues', 'issues')}",
+    "wrangle": f"""SELECT submission_number, {STD}, 'clean' AS part FROM clean
+UNION ALL SELECT submission_number, {STD}, 'issues' AS part FROM issues""",
     "match": "SELECT DISTINCT * FROM main_matched",
     "rematch": "SELECT DISTINCT * FROM re_matched",
     "create_roster": "SELECT * FROM ledger_roster",
@@ -531,16 +550,42 @@ FROM ledger_roster x LEFT JOIN registry g ON g.CASE_ID = x.CaseID
 WHERE NOT coalesce({_strip('x.TEST_RESULT')} = {_strip('g.WDRS__RESULT')}
  AND x.SPECIMEN_COLLECTION_DTTM = g.SPECIMEN_COLLECTION_DTTM, FALSE)""",
     "reviewed_roster": "SELECT * FROM reviewed_roster",
-    "combine_and_write": _first_row(f"""(SELECT * FROM rostered UNION ALL BY NAME
- SELECT * FROM main_matched WHERE submission_number NOT IN (SELECT submission_number FROM rostered)
- UNION ALL BY NAME SELECT * FROM reviewed WHERE submission_number NOT IN (SELECT submission_number FROM rostered)
-  AND submission_number NOT IN (SELECT submission_number FROM main_matched))""",
-        "submission_number", ", ".join(S.CUMULATIVE_COLUMNS[1:]), ", ".join(S.CUMULATIVE_COLUMNS)),
-    "run": " UNION ALL ".join(f"SELECT '{kind}' AS kind, count(*) AS n FROM {part}" for kind, part in {
+    "combine_and_write": " UNION ALL ".join([_by_key(name, rows) for name, rows in {
+        "received_submissions": "raw", "qa_tbl": "issues", "fuzzy_matched_none_tbl": "main_open",
+        "fuzzy_matched_review_tbl": _grown("review_ledger", _main("fuzzy"), "(SELECT * FROM re_linked WHERE bucket = 'fuzzy')"),
+        "fuzzy_without_demo_tbl": _main("no_demo"), "id_matched": "main_id_matched",
+        "fuzzy_matched_roster_tbl": "(SELECT * FROM re_linked WHERE bucket = 'exact')",
+        "rostered_tbl": _grown("rostered", "main_matched", "reviewed"), "manual_review_resp": "sheet"}.items()] + [
+        _by_key("no_match_tbl", """(SELECT submission_number, CASE WHEN match_found THEN TRUE WHEN match_found IS NULL THEN NULL
+ ELSE submission_number IN (SELECT submission_number FROM resolved) END AS match_found
+ FROM (SELECT submission_number, match_found FROM no_match UNION ALL SELECT submission_number, FALSE FROM main_open
+  WHERE submission_number NOT IN (SELECT submission_number FROM no_match)))""", "count(*) FILTER (match_found)")]),
+    "run": " UNION ALL ".join([_by_key(kind, part) for kind, part in {
         "qa_issues": "issues", "received": "raw", "unmatched": "main_open", "fuzzy": _main("fuzzy"),
         "exact": _main("exact"), "id_matched": "main_id_matched", "combined_roster": "main_matched",
-        "reviewed": "reviewed", "no_demo": _main("no_demo"), "review_sheet": "sheet", "roster": "run_roster",
-        "resolved": "resolved", "form_updates": "run_form_updates"}.items()),
+        "reviewed": "reviewed", "no_demo": _main("no_demo"), "review_sheet": "sheet",
+        "resolved": "resolved"}.items()] + [
+        _by_key("roster", "run_roster", key="CaseID"), _by_key("form_updates", "run_form_updates", key="wdrs_case_id")]),
+    # incremental work gives what doing all of it anew would
+    "rematch_delta": f"""SELECT DISTINCT {', '.join('p.' + c.strip() for c in PERSON.split(','))}, {MATCH}, b.bucket
+FROM re_people p JOIN re_best b USING (submission_number)
+WHERE submission_number NOT IN (SELECT submission_number FROM re_good WHERE CASE_ID % 2 = 0)""",
+    "ledger_resolve": f"""SELECT {', '.join(S.NO_MATCH_COLUMNS[:-1])},
+ match_found OR submission_number LIKE '%3' OR submission_number LIKE '%8' AS match_found FROM no_match""",
+    "cumulative_snapshot": _first_row("rostered", "submission_number", ", ".join(S.CUMULATIVE_COLUMNS[1:]),
+                                      ", ".join(S.CUMULATIVE_COLUMNS)),
+    "src_review_rejects": f"""SELECT submission_number, submission_number LIKE '%7' AND submitted_dob IS NOT NULL AS rejected,
+ CASE WHEN submission_number NOT LIKE '%7' THEN submitted_dob END AS submitted_dob FROM ({_first_row(
+        "review_ledger", "submission_number", ", ".join(S.CUMULATIVE_COLUMNS[1:]), ", ".join(S.CUMULATIVE_COLUMNS))})""",
+    "birth_date_slips": f"""SELECT p.first_name_clean, p.last_name_clean, submitted_dob, submitted_collection_date,
+ r.f AS first_name_clean_right, r.l AS last_name_clean_right, r.d AS reference_collection_date, r.CASE_ID
+FROM (SELECT DISTINCT first_name_clean, last_name_clean, submitted_collection_date,
+ CASE WHEN day(submitted_dob) <= 12 THEN make_date(year(submitted_dob), day(submitted_dob), month(submitted_dob))
+ ELSE submitted_dob + 1 END AS submitted_dob FROM all_people WHERE {COMPLETE}) p
+JOIN (SELECT f, l, BIRTH_DATE AS b, d, min(CASE_ID) AS CASE_ID FROM ref_people GROUP BY ALL) r ON last_name_clean = l AND {_soundex('first_name_clean')} = {_soundex('f')}
+WHERE abs(submitted_collection_date - d) <= 5 AND {_ratio('first_name_clean || last_name_clean', 'f || l')} >= 80
+ AND (hamming(strftime(submitted_dob, '%Y%m%d'), strftime(b, '%Y%m%d')) = 1
+  OR (submitted_dob <> b AND year(submitted_dob) = year(b) AND month(submitted_dob) = day(b) AND day(submitted_dob) = month(b)))""",
 }
 
 ORACLES = {name: with_parts(sql) for name, sql in _STATEMENTS.items()}

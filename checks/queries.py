@@ -13,10 +13,12 @@ from casebind import settings as S
 from casebind.functions import codes, flags
 from casebind.functions.dates import business_days, parse_date
 from casebind.functions.text import has_value, name_clean, split_field_slot
-from casebind.operators import forms, frames, history, linkage, mrn, quality, roster
-from casebind.plans import stages
+from casebind.operators import delta, forms, frames, history, linkage, mrn, quality, roster
+from casebind.operators import history as history_ops
+from casebind.plans import run, stages
 from casebind.sinks import ledgers, outputs
 from casebind.sources import staging, tables
+from casebind.sources.ledger import Ledger
 from checks.inputs import CONFIG, Inputs
 
 KEY = "submission_number"
@@ -631,11 +633,9 @@ def _(i):
 
 @query("wrangle")
 def _(i):
-    counted = [("clean", i.wrangled.clean), ("issues", i.wrangled.issues)]
+    parts = [("clean", i.wrangled.clean), ("issues", i.wrangled.issues)]
     return frames.union_all(*[
-        rows.groupBy("WDRS_RESULT", "WDRS_RESULT_SUMMARY").agg(
-            F.count("*").alias("analytes"), F.countDistinct(KEY).alias("submissions"))
-        .withColumn("part", F.lit(part)) for part, rows in counted])
+        rows.select(KEY, *S.STANDARD_COLUMNS, F.lit(part).alias("part")) for part, rows in parts])
 
 
 @query("match")
@@ -668,25 +668,98 @@ def _(i):
     return i.reviews.roster
 
 
+def _by_key(name: str, rows: DataFrame, key: str = KEY) -> DataFrame:
+    closed = F.count_if(F.col("match_found")) if "match_found" in rows.columns else F.lit(0)
+    return rows.groupBy(F.col(key).cast("string").alias("key")).agg(
+        F.count("*").alias("n"), closed.cast("bigint").alias("closed")).withColumn("name", F.lit(name))
+
+
 @query("combine_and_write")
 def _(i):
-    """The rostered ledger after the run has been written to it."""
-    target = i.ledgers["rostered_tbl"]
-    new = ledgers.routed_rows(
-        {"rostered_tbl": target}, i.whole_run.buckets(),
-        [("combined_roster", "rostered_tbl"), ("reviewed", "rostered_tbl")], i.whole_run.wrangled.hot)
-    return outputs.cumulative_roster(frames.union_diagonal(target, new["rostered_tbl"]))
+    """All ledgers, as earlier runs left them and after the run has been written."""
+    ledger = Ledger(i.spark, staging.staging_path(i.spark, "ledgers"))
+    for table, rows in i.ledgers.items():
+        ledger.append(table, rows)
+    run.combine_and_write(i.whole_run, ledger, staging.staging_path(i.spark, "files"), i.forms, CONFIG)
+    return frames.union_all(*[_by_key(name, ledger.read(name)) for name in S.LEDGER_SCHEMAS
+                              if name not in S.KEPT_SCHEMAS])
 
 
 @query("run")
 def _(i):
-    """Everything a run yields, counted by kind."""
+    """Everything a run yields, row by row as far as its key tells."""
     result = i.whole_run
     kinds = result.buckets() | {
-        "review_sheet": result.review_sheet(), "roster": result.roster,
-        "resolved": result.resolved_keys().distinct(),
-        "form_updates": forms.form_updates(result.roster, i.forms, i.registry),
-    }
-    return frames.union_all(*[
-        rows.agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "n")
-        for kind, rows in kinds.items()])
+        "review_sheet": result.review_sheet(), "resolved": result.resolved_keys().distinct()}
+    others = {"roster": (result.roster, "CaseID"), "form_updates": (
+        forms.form_updates(result.roster, i.forms, i.registry), "wdrs_case_id")}
+    kinds.pop("roster")
+    return frames.union_all(
+        *[_by_key(kind, rows.drop("match_found")) for kind, rows in kinds.items()],
+        *[_by_key(kind, rows, key) for kind, (rows, key) in others.items()])
+
+
+# ---- incremental work ----------------------------------------------------------------------
+
+@query("rematch_delta")
+def _(i):
+    """Open non-matches that cases of even number did not link, retried when the others come."""
+    ledger = i.ledgers["no_match_tbl"]
+    history = history_ops.not_yet_rostered(tables.open_non_matches(ledger), i.ledgers["rostered_tbl"])
+    persons = linkage.people(history, linkage.LEDGER).filter(linkage.complete()).select(*linkage.PERSON).distinct()
+    early = staging.staged(linkage.reference_people(i.registry.filter("CASE_ID % 2 = 0")), "early")
+    people = staging.staged(linkage.reference_people(i.registry), "people")
+    still = staging.staged(persons.join(
+        linkage.link_persons(persons, early, CONFIG.link, staging.staged), linkage.PERSON, "left_anti"), "still")
+    seen = delta.Compared(still, early, None, None)
+    return delta.delta_links(still, people, seen, CONFIG.link, staging.staged)[0]
+
+
+@query("ledger_resolve")
+def _(i):
+    """A flagged ledger after two runs have resolved some of its open rows."""
+    ledger = Ledger(i.spark, staging.staging_path(i.spark, "flagged"))
+    ledger.append("no_match_tbl", i.no_match)
+    for digit in ("3", "8"):
+        keys = i.submissions.select(F.col("PHLAccessionNumber").alias(KEY)).filter(F.col(KEY).endswith(digit))
+        ledger.resolve("no_match_tbl", keys)
+    return ledger.read("no_match_tbl").select(*S.NO_MATCH_COLUMNS)
+
+
+@query("cumulative_snapshot")
+def _(i):
+    """The cumulative roster after two runs, each merged into the snapshot of the one before."""
+    ledger = Ledger(i.spark, staging.staging_path(i.spark, "rostered"))
+    first = F.crc32(F.col(KEY).cast("binary")) % 2 == 0
+    for part in (first, ~first | F.col(KEY).endswith("1")):
+        ledger.append("rostered_tbl", i.rostered.filter(part))
+        rows = ledgers.cumulative(ledger, "rostered_tbl")
+    return rows
+
+
+@query("src_review_rejects")
+def _(i):
+    """Review sheets of which a spreadsheet has rewritten some birth dates."""
+    path = staging.staging_path(i.spark, "review_rejects")
+    sheet = frames.keep_one(i.review_ledger.select(KEY, *S.CUMULATIVE_COLUMNS[1:]), [KEY])
+    sheet = frames.align_schema(sheet, tables.REVIEW_CSV_SCHEMA).withColumn("submitted_dob", F.when(
+        F.col(KEY).endswith("7"), F.date_format("submitted_dob", "M/d/yyyy")).otherwise(
+        F.col("submitted_dob").cast("string")))
+    sheet.write.option("header", True).csv(path)
+    rows, rejects = tables.review_sheets(i.spark, f"{path}/*.csv")
+    first_cell = F.split_part(tables.REJECT, F.lit(","), F.lit(1))
+    return rows.select(KEY, "submitted_dob", F.lit(False).alias("rejected")).unionByName(rejects.select(
+        first_cell.alias(KEY), F.lit(None).cast("date").alias("submitted_dob"), F.lit(True).alias("rejected")))
+
+
+@query("birth_date_slips")
+def _(i):
+    """Every submission's person with a slip in the birth date, against the registry."""
+    dob = F.col("submitted_dob")
+    slipped = F.when(F.day(dob) <= 12, F.make_date(F.year(dob), F.day(dob), F.month(dob))).otherwise(
+        F.date_add(dob, 1))
+    persons = _all_people(i).withColumn("submitted_dob", slipped).filter(linkage.complete())
+    pairs = linkage.birth_date_slips(
+        persons.select(*linkage.PERSON).distinct(), linkage.reference_people(i.registry), CONFIG.link)
+    return pairs.select(*linkage.PERSON, "first_name_clean_right", "last_name_clean_right",
+                        "reference_collection_date", "CASE_ID").distinct()
