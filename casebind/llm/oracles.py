@@ -179,6 +179,6 @@ SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 5
 
 ORACLES = {
     "op1_substring_dedup": OP1, "op4_chat": OP4, "op5_line_dedup": OP5, "op7_decontamination": OP7,
-    "op8_mixing": OP8, "op8_mixing_by_quality": OP8_BY_QUALITY,
+    "op8_mixing": OP8_BY_QUALITY, "op8_mixing_by_quality": OP8_BY_QUALITY,
     "op10_ngram_join": OP10, "op11_sharding": OP11, "op12_vector_codes": OP12, "op13_resampling": OP13,
 }

@@ -102,12 +102,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
-
-
-def op8_mixing_by_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As ``op8_mixing``, whose twin has all weights equal, with the weights of the labels."""
+    """Documents weigh by the quality marks of ``labels``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return (mix(docs, quality_weights(table(spark, sf_dir, "labels")))
             .select("doc_id", "size", "source_size", "target", "taken"))
@@ -137,7 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
     "op8_mixing": op8_mixing,
-    "op8_mixing_by_quality": op8_mixing_by_quality,
+    "op8_mixing_by_quality": op8_mixing,  # its name while op8_mixing had no weights
     "op9_pii": op9_pii,
     "op10_ngram_join": op10_ngram_join,
     "op11_sharding": op11_sharding,
