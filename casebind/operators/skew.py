@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -86,7 +87,8 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str
     if not hot and not keeps_null_keys:
         return facts.join(lookup, list(on), how)
 
-    spread = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in facts.columns])
+    hashed = [F.col(f"`{c}`") for c, kind in facts.dtypes if not re.search("variant|map<", kind)]
+    spread = F.xxhash64(F.spark_partition_id(), *hashed)
     width = F.lit(_shuffle_width(facts))
     columns = [f"`{c}`" for c in facts.columns]
     if hot:

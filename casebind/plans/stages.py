@@ -95,7 +95,7 @@ def pull(submissions: DataFrame, wizard: DataFrame, investigation: DataFrame,
     unnested = tables.receipt_unnest(receipt)
     return PullResult(
         submissions=unnested,
-        received=tables.receipt_as_json(receipt),
+        received=(tables.receipt_as_variant if config.variant_receipts else tables.receipt_as_json)(receipt),
         registry=registry,
         cases=cases,
         people=stage(linkage.reference_people(registry), "people"),

@@ -228,6 +228,10 @@ LEDGER_SCHEMAS = KEPT_SCHEMAS | {
     "manual_review_resp": schema_for(REVIEW_COLUMNS + ["good_match", "resolved", "notes"]),
 }
 
+#: The same with receipts of changing columns.
+VARIANT_SCHEMAS = LEDGER_SCHEMAS | {
+    "received_submissions": schema_for(_KEY) + ", raw_inbound_submission variant"}
+
 # bucket of a finished run -> ledger table it is appended to
 PACKAGE_ROUTES = [
     ("qa_issues", "qa_tbl"),
@@ -308,3 +312,4 @@ class EngineConfig:
     history_by_date: bool = False  # a rostered submission counts for its collection date only
     cutoff: str | None = None  # submissions collected after this day
     case_code: str | None = None
+    variant_receipts: bool = False  # for a ledger with VARIANT_SCHEMAS

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,6 +71,38 @@ def receipt_as_json(receipt: DataFrame) -> DataFrame:
         RECEIPT, F.to_json(F.col(RECEIPT), {"ignoreNullFields": "false"}))
 
 
+def receipt_as_variant(receipt: DataFrame) -> DataFrame:
+    """The form a receipt is stored in where its columns change: each row with its own, typed."""
+    return receipt.withColumn(RECEIPT, F.to_variant_object(RECEIPT))
+
+
+def variant_columns(receipt: DataFrame) -> dict[str, str]:
+    """Name and type of every column that any stored receipt has, from one aggregate.
+
+    A column that has several types, or none, is read as text.
+    """
+    told = receipt.agg(F.schema_of_variant_agg(RECEIPT)).first()[0]
+    if told is None or not told.startswith("OBJECT<"):
+        return {}
+    found = StructType.fromDDL(re.sub(r"\bOBJECT<", "STRUCT<", told)[len("STRUCT<"):-1])
+    odd = ("void", "variant")
+    return {f.name: "string" if f.dataType.simpleString() in odd else f.dataType.simpleString() for f in found}
+
+
+def variant_unnest(receipt: DataFrame, columns: dict[str, str] | None = None) -> DataFrame:
+    """Receipts stored as variants back to columns, in name order; ``columns`` (name and type), or
+    all that occur. A row without a column has null there. No schema is asked of the caller."""
+    columns = variant_columns(receipt) if columns is None else columns
+
+    def path(name: str) -> str:
+        mark = "'" if '"' in name else '"'  # a path has no escapes: a name with both marks is not readable
+        return f"$[{mark}{name}{mark}]"
+
+    read = {name: F.variant_get(RECEIPT, path(name), kind) for name, kind in columns.items()}
+    read |= {c: F.col(c) for c in ("submission_number", "internal_create_date")}
+    return receipt.select(*[read[c].alias(c) for c in sorted(read)])
+
+
 REJECT = "_rejected_line"
 
 

@@ -566,6 +566,9 @@ WHERE NOT coalesce({_strip('x.TEST_RESULT')} = {_strip('g.WDRS__RESULT')}
         "reviewed": "reviewed", "no_demo": _main("no_demo"), "review_sheet": "sheet",
         "resolved": "resolved"}.items()] + [
         _by_key("roster", "run_roster", key="CaseID"), _by_key("form_updates", "run_form_updates", key="wdrs_case_id")]),
+    "receipt_variant": """SELECT * REPLACE (
+ CASE WHEN NOT regexp_matches(PHLAccessionNumber, '[02468]$') THEN SubmitterName END AS SubmitterName,
+ CASE WHEN regexp_matches(PHLAccessionNumber, '[02468]$') THEN SpecimenSource END AS SpecimenSource) FROM raw""",
     # incremental work gives what doing all of it anew would
     "rematch_delta": f"""SELECT DISTINCT {', '.join('p.' + c.strip() for c in PERSON.split(','))}, {MATCH}, b.bucket
 FROM re_people p JOIN re_best b USING (submission_number)

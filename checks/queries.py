@@ -85,6 +85,16 @@ def _(i):
     return tables.receipt_unnest(tables.receipt_as_json(receipt), i.submissions.schema)
 
 
+@query("receipt_variant")
+def _(i):
+    """Two runs whose sources have different columns, stored as variants and read without a schema."""
+    path, even = staging.staging_path(i.spark, "receipts"), F.col("PHLAccessionNumber").rlike("[02468]$")
+    for rows in (i.submissions.filter(even).drop("SubmitterName"), i.submissions.filter(~even).drop("SpecimenSource")):
+        tables.receipt_as_variant(tables.raw_receipt(rows, CONFIG.primary_key, CONFIG.run_date)).write.mode(
+            "append").parquet(path)
+    return tables.variant_unnest(i.spark.read.parquet(path))
+
+
 @query("src_form_records")
 def _(i):
     path = staging.staging_path(i.spark, "form_records")

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from casebind.operators import delta, linkage, mrn
+from casebind import settings as S
 from casebind.plans import stages
 from casebind.plans.stages import PullResult
 from casebind.settings import LinkConfig
@@ -224,6 +225,25 @@ def test_registry_sources_are_read_once(spark, inputs):
     assert lazy.registry.exceptAll(pulled.registry).count() == pulled.registry.exceptAll(lazy.registry).count() == 0
 
 
+# ---- receipts ------------------------------------------------------------------------------
+
+def test_receipts_of_changing_columns(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path), S.VARIANT_SCHEMAS)
+    runs = [spark.createDataFrame([("1", dt.date(2024, 1, 2), 3, "x")], "k string, day date, n int, `odd.\"name` string"),
+            spark.createDataFrame([("2", "y", 2.5), (None, None, None)], "k string, extra string, n double")]
+    for rows in [*runs, runs[0]]:
+        receipt = tables.receipt_as_variant(tables.raw_receipt(rows, "k", dt.date(2024, 6, 1)))
+        ledger.insert_if_absent("received_submissions", receipt.filter("submission_number IS NOT NULL"))
+    stored = ledger.read("received_submissions")
+    assert stored.count() == 2 and "variant" in dict(stored.dtypes).values()
+    got = {r[KEY]: r.asDict() for r in tables.variant_unnest(stored).collect()}
+    assert got["1"] == {KEY: "1", "internal_create_date": dt.date(2024, 6, 1), "k": "1", "day": dt.date(2024, 1, 2),
+                        "n": got["1"]["n"], 'odd."name': "x", "extra": None}
+    assert float(got["1"]["n"]) == 3 and float(got["2"]["n"]) == 2.5 and got["2"]["extra"] == "y" and got["2"]["day"] is None
+    assert tables.variant_unnest(stored, {"day": "date"}).columns == ["day", "internal_create_date", KEY]
+    assert tables.variant_columns(stored.limit(0)) == {}
+
+
 # ---- review sheets -------------------------------------------------------------------------
 
 def test_lines_that_are_no_review_rows(spark, tmp_path):
