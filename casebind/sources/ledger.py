@@ -7,6 +7,8 @@ overwritten while it is being read.
 Tables whose rows are open until something resolves them are partitioned by that flag and by a
 bucket of the key: open rows are read by partition pruning, and resolving some rewrites only the
 open partitions of the buckets they are in.
+
+Which keys a table holds is kept beside it (``key_index``), so an insert reads no ledger.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from casebind.operators.frames import align_schema, quote
 from casebind.operators.history import KEY, absent_rows, flag_resolved
 from casebind.operators.skew import HotKeys
 from casebind.settings import FLAGGED_TABLES, LEDGER_SCHEMAS, MATCH_FLAG
+from casebind.sources.key_index import Batch, KeyIndex, names_in
 from casebind.sources.staging import counted
 
 _VERSION = re.compile(r"^(?:version=)?v(\d+)-(part|full|patch)$")
@@ -45,9 +48,7 @@ class Ledger:
         self.flagged, self.buckets = frozenset(flagged), buckets
 
     def _list(self, path: str) -> list[str]:
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        files = at.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return [s.getPath().getName() for s in files.listStatus(at)] if files.exists(at) else []
+        return names_in(self.spark, path)
 
     def _versions(self, table: str) -> list[tuple[int, str, str]]:
         """(number, kind, directory) of every write that was begun."""
@@ -75,8 +76,10 @@ class Ledger:
         compaction, everything).
         """
         done = [v for v in self._complete(table) if v[0] > after]
-        if not done:
-            return self._empty(table)
+        return self._rows(table, done) if done else self._empty(table)
+
+    def _rows(self, table: str, done: list[tuple[int, str, str]]) -> DataFrame:
+        """What these complete writes brought."""
         root = f"{self.folder}/{table}"
         if table not in self.flagged:
             return self.spark.read.schema(self.schemas[table]).parquet(*[f"{root}/{d}" for _, _, d in done])
@@ -129,9 +132,32 @@ class Ledger:
     def insert_if_absent(self, table: str, batch: DataFrame,
                          key: str | Sequence[str] = KEY, hot: HotKeys | None = None) -> int:
         """Append the batch rows whose key the table lacks, and count them; running it twice adds
-        nothing."""
-        batch, keys = align_schema(batch, self.schemas[table]), [key] if isinstance(key, str) else key
-        return self._write(table, absent_rows(batch, self.read(table), keys, hot), "part")
+        nothing.
+
+        Rows with a null in their key are always appended. Neither the table is read nor its keys
+        are shuffled: only keys that the batch has as well meet its rows. The batch is computed
+        once and kept in the checkpoint folder meanwhile.
+        """
+        batch, keys = align_schema(batch, self.schemas[table]), [key] if isinstance(key, str) else list(key)
+        if self._begun(table):
+            kept = Batch(batch, keys)
+            known, batch = self._known(table, kept), kept.rows
+            if known is not None:
+                batch = absent_rows(batch, kept.among(known), keys, hot)
+        return self._write(table, batch, "part")
+
+    def _begun(self, table: str) -> bool:
+        return bool(self._complete(table))
+
+    def _known(self, table: str, batch: Batch) -> DataFrame | None:
+        """The keys of the table in the buckets of the batch, from an index that is brought up to
+        the last write first; None if there are none. Patches bring no keys."""
+        done = {n: (n, kind, d) for n, kind, d in self._complete(table) if kind != "patch"}
+        index = KeyIndex(self.spark, f"{self.folder}/{table}/_keys", batch.keys)
+        index.cover(list(done), lambda numbers: self._rows(table, [done[n] for n in numbers]))
+        kinds = self._empty(table).select(*[quote(k) for k in batch.keys]).schema
+        return index.known(min(done), batch, ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}" for f in kinds))
 
     def resolve(self, table: str, resolved: DataFrame, hot: HotKeys | None = None) -> int:
         """Set the flag of the open rows whose key is among ``resolved``; the buckets rewritten.
@@ -186,6 +212,14 @@ class CatalogLedger(Ledger):
     def newest(self, table: str) -> int:
         return 0  # a catalog table does not tell its writes apart
 
+    def _begun(self, table: str) -> bool:
+        return True
+
+    def _known(self, table: str, batch: Batch) -> DataFrame | None:
+        """The keys of the table itself: without numbered writes there is no telling what an index
+        covers."""
+        return self.read(table)
+
     def read(self, table: str, after: int = 0) -> DataFrame:
         return self.spark.table(self._name(table)).drop(BUCKET)
 

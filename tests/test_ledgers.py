@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from casebind.operators import frames
 from casebind.operators.history import absent_rows, flag_resolved
 from casebind.sources import tables
+from casebind.sources.key_index import Batch
 from casebind.sources.ledger import CatalogLedger, Ledger
 
 SCHEMAS = {"t": "submission_number string, n int, match_found boolean"}
@@ -61,6 +62,63 @@ def test_unfinished_writes_do_not_count(spark, tmp_path):
     assert (Path(tmp_path) / "t" / "v000003-part" / "_SUCCESS").exists()
 
 
+def numbered(spark, *numbers):
+    return batch(spark, *[(f"s{n:06d}", n, False) for n in numbers])
+
+
+def opened(frame):
+    return {tuple(r[0].rsplit("/", 3)[1:3]) for r in frame.select(F.input_file_name()).distinct().collect()}
+
+
+def test_what_an_insert_reads_follows_its_batch(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path), SCHEMAS)
+    for day in range(4):
+        assert ledger.insert_if_absent("t", numbered(spark, *range(500 * day, 500 * day + 500))) == 500
+    few = Batch(numbered(spark, 3, 1700, 9999), ["submission_number"])
+    known = ledger._known("t", few)
+    assert len(few.buckets) <= 3 and {b for _, b in opened(known)} == {f"_key_bucket={b}" for b in few.buckets}
+    assert {v for v, _ in opened(known)} == {"v000001", "v000002", "v000003", "v000004"}
+    assert sorted(r[0] for r in few.among(known).collect()) == ["s000003", "s001700"]
+    late = Batch(numbered(spark, *range(1900, 2100)), ["submission_number"])
+    met = late.among(ledger._known("t", late))
+    plan = met._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(submission_number,s001900)" in plan and "BroadcastHashJoin" in plan
+    assert met.count() == 100
+    assert ledger.insert_if_absent("t", numbered(spark, *range(1900, 2100))) == 100
+    assert ledger.insert_if_absent("t", numbered(spark, *range(1900, 2100))) == 0
+    assert len(contents(ledger)) == 2100
+
+
+def test_the_index_catches_up_with_dead_runs_snapshots_and_patches(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path), SCHEMAS, flagged=["t"], buckets=4)
+    rows = numbered(spark, 1, 2, 3)
+    ledger.append("t", rows)
+    assert ledger.insert_if_absent("t", rows.unionByName(numbered(spark, 4))) == 1
+    index = Path(tmp_path) / "t" / "_keys" / "submission_number"
+    assert sorted(p.name for p in index.iterdir()) == ["v000001"]
+    dead = index / "v000002"  # an index write that died
+    dead.mkdir()
+    (dead / "part-0.parquet").write_bytes(b"half a file")
+    assert ledger.insert_if_absent("t", numbered(spark, 4, 5)) == 1
+    assert ledger.resolve("t", numbered(spark, 2, 5)) > 0
+    assert ledger.insert_if_absent("t", numbered(spark, 1, 2, 3, 4, 5)) == 0
+    ledger.compact("t")
+    assert ledger.insert_if_absent("t", numbered(spark, 2, 5, 6)) == 1
+    ledger.replace("t", numbered(spark, 7))
+    assert ledger.insert_if_absent("t", numbered(spark, 1, 7)) == 1  # what a snapshot left out is absent again
+    assert contents(ledger) == [("s000001", 1, False), ("s000007", 7, False)]
+
+
+def test_inserts_by_several_columns_with_nulls(spark, ledger):
+    on = ["submission_number", "n"]
+    rows = batch(spark, ("a", 1, None), ("a", None, None), (None, 1, None), ("b", 1, None))
+    assert ledger.insert_if_absent("t", rows, on) == 4
+    assert ledger.insert_if_absent("t", rows, on) == 2  # a key with a null in it equals none
+    assert ledger.insert_if_absent("t", batch(spark, (None, 1, None)), on) == 1
+    assert ledger.insert_if_absent("t", batch(spark), on) == 0
+    assert ledger.insert_if_absent("t", batch(spark, ("a", 2, None), ("b", 1, True)), on) == 1
+
+
 def test_null_keys_are_always_absent(spark):
     rows = absent_rows(batch(spark, (None, 1, None), ("a", 2, None)), batch(spark, (None, 0, None), ("a", 0, None)))
     assert [r["n"] for r in rows.collect()] == [1]
