@@ -1,10 +1,12 @@
 """Document fingerprints: threshold-scaled sketches of word shingles, and likeness of two.
 
-A sketch keeps every shingle hash below a fixed fraction (1 / ``SCALE``) of the hash range, so
-sketches of any two texts, however unequal, sample the same shingles: the shared hashes of a
-merged sketch estimate resemblance and containment. A text whose scaled sketch would hold fewer
-than ``LEAST`` hashes is kept at fraction 1 instead; two sketches are compared, and merged, at the
-smaller of their fractions, which is the scaled one unless both are whole.
+A sketch keeps every shingle hash below a fixed fraction (1 / ``SCALE``) of the hash range, the same
+for all texts, so sketches of any two, however unequal, sample the same shingles: the shared hashes
+estimate resemblance and containment, and the union of two sketches is the sketch of both texts.
+
+A text none of whose hashes is that small (about one of 300 with 24 words) notes its least hash in
+their stead. Two such texts are alike if these are equal, which estimates resemblance with one
+sample; of their containment in others there is no estimate.
 """
 
 from __future__ import annotations
@@ -21,53 +23,46 @@ from pyspark.sql import types as T
 from casebind.llm.arrays import SPACED, bounds, shingles, words
 from casebind.llm.blocks import NO_ID, block_of, block_starts, sort_id
 
-SHINGLE, SCALE, LEAST = 5, 8, 32
+SHINGLE, SCALE = 5, 4
 _LIMIT = np.uint64((1 << 64) // SCALE)
 
 
 class Sketch:
-    """The kept hashes, ascending, and the fraction (1 over ``scale``) they are kept at."""
-
-    def __init__(self, hashes: np.ndarray, scale: int):
-        self.hashes, self.scale = hashes, scale
+    """The hashes below the limit, ascending, or the least one of a text that has none of these."""
 
-    @classmethod
-    def of(cls, hashes: np.ndarray) -> Sketch:
-        few = hashes[:np.searchsorted(hashes, _LIMIT)]
-        return cls(few, SCALE) if len(few) >= LEAST else cls(hashes, 1)
+    def __init__(self, hashes: np.ndarray):
+        self.kept, self.least = hashes[:np.searchsorted(hashes, _LIMIT)], hashes[:1]
 
     @classmethod
     def read(cls, text: str) -> Sketch:
-        scale, _, digits = text.partition(":")
-        return cls(np.frombuffer(bytes.fromhex(digits), dtype=">u8").astype(np.uint64), int(scale))
+        return cls(np.frombuffer(bytes.fromhex(text), dtype=">u8").astype(np.uint64))
 
-    def __str__(self) -> str:
-        return f"{self.scale}:{self.hashes.astype('>u8').tobytes().hex()}"
+    @property
+    def hashes(self) -> np.ndarray:
+        return self.kept if len(self.kept) else self.least
 
-    def at(self, scale: int) -> np.ndarray:
-        return self.hashes if scale == self.scale else \
-            self.hashes[:np.searchsorted(self.hashes, _LIMIT)]
+    def __str__(self) -> str:
+        return self.hashes.astype(">u8").tobytes().hex()
 
     def merged(self, other: Sketch) -> Sketch:
-        scale = max(self.scale, other.scale)
-        return Sketch(np.union1d(self.at(scale), other.at(scale)), scale)
+        """The sketch of the union of the shingles."""
+        return Sketch(np.union1d(self.hashes, other.hashes))
 
-    def _shared(self, other: Sketch) -> tuple[int, int, int]:
-        scale = max(self.scale, other.scale)
-        a, b = self.at(scale), other.at(scale)
-        return len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b)
+    def _shared(self, other: Sketch) -> int:
+        return len(np.intersect1d(self.kept, other.kept, assume_unique=True))
 
     def likeness(self, other: Sketch) -> float:
         """Estimated resemblance (Jaccard) of the shingle sets, 0 to 1; 1 for two empty texts."""
-        both, a, b = self._shared(other)
-        if not a + b:
-            return float(self.scale == other.scale)
-        return both / (a + b - both)
+        total = len(self.kept) + len(other.kept)
+        if not total:
+            return float(np.array_equal(self.least, other.least))
+        both = self._shared(other)
+        return both / (total - both)
 
-    def containment(self, other: Sketch) -> float:
-        """Estimated share of this text's shingles that the other has."""
-        both, a, _ = self._shared(other)
-        return both / a if a else float(not len(self.hashes))
+    def containment(self, other: Sketch) -> float | None:
+        """Estimated share of this text's shingles that the other has; None where the sketch has
+        none to tell by."""
+        return self._shared(other) / len(self.kept) if len(self.kept) else None
 
 
 def sketches(texts: pa.Array | list[str | None]) -> list[Sketch]:
@@ -75,7 +70,7 @@ def sketches(texts: pa.Array | list[str | None]) -> list[Sketch]:
               else pa.array(texts, pa.large_string()), SPACED)
     h, doc = shingles(w, SHINGLE)
     at = bounds(doc, len(w.first) - 1)
-    return [Sketch.of(h[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
+    return [Sketch(h[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
 def fingerprints(docs: DataFrame, column: str = "text") -> DataFrame:

@@ -1,5 +1,6 @@
 """Words and shingles, substring removal, fingerprints, licences."""
 
+import functools
 import hashlib
 import random
 import re
@@ -87,9 +88,38 @@ def shingle_set(t):
     return {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
 
 
-def jaccard(a, b):
-    a, b = shingle_set(a), shingle_set(b)
-    return len(a & b) / len(a | b) if a or b else 1.0
+def mix64(h):
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 1):
+        h = ((h ^ h >> 33) * factor) % 2 ** 64
+    return h
+
+
+def word_hash(word):
+    raw = word.encode()
+    if len(raw) > 256:
+        return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little")
+    h = mix64(len(raw) + 0x9E3779B97F4A7C15)
+    for k in range(0, len(raw), 8):
+        h = mix64((h * 0x9E3779B97F4A7C15 + int.from_bytes(raw[k:k + 8], "little")) % 2 ** 64)
+    return h
+
+
+def plain_sketch(t):
+    """Distinct shingle hashes below a quarter of the range, else the least one."""
+    out = set()
+    for run in shingle_set(t):
+        short = len(run) < 5
+        h = 0
+        for word in run:
+            h = (h * (0x9E3779B97F4A7C15 if short else 0xD6E8FEB86659FD93) + word_hash(word)) % 2 ** 64
+        out.add(mix64(h ^ 0xFF51AFD7ED558CCD if short else h))
+    return {h for h in out if h < 2 ** 62} or set(sorted(out)[:1])
+
+
+def plain_likeness(a, b):
+    if max([*a, *b], default=2 ** 62) >= 2 ** 62:  # at least one has but a least hash
+        return float(a == b)
+    return len(a & b) / len(a | b)
 
 
 def test_fingerprints_of_edited_texts(docs, no_docs, rows):
@@ -102,14 +132,14 @@ def test_fingerprints_of_edited_texts(docs, no_docs, rows):
             n, half = order[(k + 1) % len(order)][1], len(t) // 2
             want[None if i == -(1 << 63) else i, len(t), t[:len(t) - half] + n[:half]] += 1
         assert got == want
-        text = {}
+        want = Counter()
         for k, (i, t) in enumerate(order):
-            text.setdefault(i, []).append(t)
-        for r in out:
-            t, e = text[-(1 << 63) if r["doc_id"] is None else r["doc_id"]], r["edited"]
-            if len(set(t)) == 1:
-                assert abs(r["near_edited"] - jaccard(t[0], e)) < 0.25
-            assert 0 <= r["near_next"] <= 1
+            n, half = order[(k + 1) % len(order)][1], len(t) // 2
+            own, edited, after = map(plain_sketch, (t, t[:len(t) - half] + n[:half], n))
+            want[(None if i == -(1 << 63) else i, *("".join(f"{h:016x}" for h in sorted(x)) for x in (own, edited)),
+                  plain_likeness(own, edited), plain_likeness(own, after))] += 1
+        assert Counter((r["doc_id"], r["fingerprint"], r["edited_fingerprint"], r["near_edited"], r["near_next"])
+                       for r in out) == want
     assert fingerprints.compared(no_docs).count() == 0
 
 
@@ -122,8 +152,15 @@ def test_sketches_estimate_and_merge(docs):
     assert small.containment(big) == 1 and abs(big.containment(small) - 0.25) < 0.06
     assert abs(big.likeness(small) - 0.25) < 0.06
     assert empty.likeness(none) == 1 and empty.likeness(other) == 0
+    assert empty.containment(big) is None and other.containment(big) in (None, 0)
     assert str(big.merged(small)) == str(big)
     assert str(fingerprints.Sketch.read(str(big))) == str(big)
+    words = long.split()
+    passages = fingerprints.sketches([" ".join(words[k:k + 24]) for k in range(0, 7200, 24)])
+    known = [p.containment(big) for p in passages]
+    assert set(known) <= {1, None} and known.count(None) <= 5  # a short passage in a long text
+    whole = functools.reduce(fingerprints.Sketch.merged, passages)
+    assert whole.containment(big) == 1 and abs(len(whole.kept) * 4 / (300 * 20) - 1) < 0.1
     made = {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprints(docs).collect()}
     assert made[-9] == str(empty)  # a null text
 
