@@ -1,11 +1,15 @@
 """Licence notices in texts: matching statistics against a generalised suffix automaton.
 
-The automaton is built over the words of all templates (a few thousand words, shipped with the
+The automaton is built over the words of all templates (hundreds of words, shipped with the
 task). A text is streamed through it once; after each word the longest run of words that ends
 there and stands in some template is known (its matching statistic). Runs of at least
 ``MIN_MATCH`` words are chained, per template, in the order of both text and template, into
 spans; a template whose words are covered by ``MIN_COVER`` or more gives its label.
 Whole phrases are templates too, and every place of one is reported.
+
+A notice of several sentences is one template for each, as files often keep only a part. A run of
+words that a template holds twice is taken for its first place there, so of a repeated passage the
+second place adds nothing to the share that is covered.
 """
 
 from __future__ import annotations
@@ -34,15 +38,64 @@ NOTICES = [
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this"
             " software and associated documentation files, to deal in the software without"
             " restriction"),
+    ("mit", "The above copyright notice and this permission notice shall be included in all copies"
+            " or substantial portions of the Software"),
+    ("mit", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED,"
+            " INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A"
+            " PARTICULAR PURPOSE AND NONINFRINGEMENT"),
+    ("mit", "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT"
+            " HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF"
+            " CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE"
+            " OR THE USE OR OTHER DEALINGS IN THE SOFTWARE"),
     ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("apache-2.0", "you may not use this file except in compliance with the License"),
+    ("apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed"
+                   " under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR"
+                   " CONDITIONS OF ANY KIND, either express or implied"),
+    ("apache-2.0", "See the License for the specific language governing permissions and"
+                   " limitations under the License"),
     ("gpl", "This work is licensed under the GNU General Public License, version 3"),
     ("gpl", "This program is free software: you can redistribute it and/or modify it under the"
             " terms of the GNU General Public License as published by the Free Software"
             " Foundation"),
+    ("gpl", "This program is distributed in the hope that it will be useful, but WITHOUT ANY"
+            " WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A"
+            " PARTICULAR PURPOSE. See the GNU General Public License for more details"),
     ("lgpl", "under the terms of the GNU Lesser General Public License"),
+    ("agpl", "under the terms of the GNU Affero General Public License"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are"
             " permitted provided that the following conditions are met"),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of"
+            " conditions and the following disclaimer"),
+    ("bsd", "Redistributions in binary form must reproduce the above copyright notice, this list"
+            " of conditions and the following disclaimer in the documentation and/or other"
+            " materials provided with the distribution"),
+    ("bsd", "Neither the name of the copyright holder nor the names of its contributors may be"
+            " used to endorse or promote products derived from this software without specific"
+            " prior written permission"),
+    ("bsd", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY"
+            " EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES"
+            " OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED"),
+    ("bsd", "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT,"
+            " INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT"
+            " NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR"
+            " PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,"
+            " WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE)"
+            " ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE"
+            " POSSIBILITY OF SUCH DAMAGE"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with"
+            " or without fee is hereby granted, provided that the above copyright notice and this"
+            " permission notice appear in all copies"),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no"
+             " event will the authors be held liable for any damages arising from the use of this"
+             " software"),
+    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone"
+                  " is free to copy, modify, publish, use, compile, sell, or distribute this"
+                  " software, either in source code form or as a compiled binary, for any purpose,"
+                  " commercial or non-commercial, and by any means"),
+    ("bsl-1.0", "Distributed under the Boost Software License, Version 1.0"),
+    ("epl-2.0", "This program and the accompanying materials are made available under the terms of"
+                " the Eclipse Public License 2.0"),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License"),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International"
               " License"),
@@ -140,6 +193,7 @@ class Scanner:
         self.automaton = Automaton([[number[x] for x in text] for text in texts])
         self.sizes = [len(t) for t in texts]
         self.n_phrases = len(phrases)
+        self.shortest = min([MIN_MATCH, *self.sizes[:len(phrases)]])
         # per state, the phrases that end wherever it is reached with their length or more
         a, self.phrase_at = self.automaton, []
         ends = {}
@@ -156,7 +210,8 @@ class Scanner:
             self.phrase_at.append(found)
 
     def runs(self, h: np.ndarray, doc: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, list[int]]]:
-        """Stretches of two or more neighbouring words that are all in the vocabulary."""
+        """Stretches of neighbouring words that are all in the vocabulary and long enough for a match
+        or a phrase."""
         spot = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
         at = np.flatnonzero(self.hash[spot] == h)
         if not len(at):
@@ -164,7 +219,7 @@ class Scanner:
         new = np.ones(len(at), dtype=bool)
         new[1:] = (np.diff(at) > 1) | (doc[at[1:]] != doc[at[:-1]])
         heads = np.append(np.flatnonzero(new), len(at))
-        for k in np.flatnonzero(np.diff(heads) > 1):
+        for k in np.flatnonzero(np.diff(heads) >= self.shortest):
             a, b = heads[k], heads[k + 1]
             d = int(doc[at[a]])
             yield d, int(at[a] - first[d]), self.number[spot[at[a:b]]].tolist()

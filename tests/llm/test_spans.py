@@ -199,6 +199,35 @@ def test_licences_against_brute_force(spark, docs, no_docs, rows):
     assert license_scan.scan_licences(no_docs).count() == 0
 
 
+def test_phrases_of_one_word_and_paragraphs_of_notices(spark):
+    rows = [(1, "quite proprietary stuff"), (2, "proprietary"), (3, "nothing here"), (4, "proprietary, proprietary")]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = license_scan.scan_licences(d, {"proprietary": "closed", "quite proprietary": "very"}).collect()
+    assert {r["doc_id"]: (r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) for r in out} == {
+        1: (2, 0, 1, "closed,very"), 2: (1, 0, 0, "closed"), 3: (0, None, None, ""), 4: (2, 0, 1, "closed")}
+    kept = [(10, "3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+                 "endorse or promote products derived from this software without specific prior written permission."),
+            (11, "software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR "
+                 "CONDITIONS OF ANY KIND, either express or implied."),
+            (12, "in the use of this software and in all copies of the work, the above is without any of the terms")]
+    out = license_scan.scan_licences(spark.createDataFrame(kept, "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: r["labels"] for r in out} == {10: "bsd", 11: "apache-2.0", 12: ""}
+
+
+def test_every_notice_is_found_whole_and_with_a_word_changed(spark):
+    rows = []
+    for k, (_, text) in enumerate(license_scan.NOTICES):
+        w = text.split()
+        rows += [(2 * k, "Some prose before. " + text + ". More after"),
+                 (2 * k + 1, " ".join([*w[:len(w) // 2], "xqz", *w[len(w) // 2 + 1:]]))]
+    out = {r["doc_id"]: r for r in license_scan.scan_licences(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for k, (label, text) in enumerate(license_scan.NOTICES):
+        assert label in out[2 * k]["labels"].split(",") and out[2 * k]["score"] > 0.85
+        if len(text.split()) >= 12:
+            assert label in out[2 * k + 1]["labels"].split(",")
+
+
 def test_matching_statistics_against_brute_force():
     rng = random.Random(2)
     for _ in range(30):
