@@ -3,10 +3,11 @@
 Rules with a check (Luhn digit, address parts, digit counts) give base spans that always count.
 Beside them generators of high recall propose overlapping spans: long digit runs, anything
 around an ``@``, long code-like strings, values after words like ``password``. Gradient-boosted
-trees (MLlib) score each by its format and context. They learn from a bounded sample of at most
-``TRAINING_SPANS`` candidates, marked by the base rules and by key words before the value;
-each generator's threshold is the lowest score that keeps ``PRECISION`` on the part of the
-sample left out of training. Trees are applied as one SQL expression, in the row of the text.
+trees (MLlib) score each by its format and context. They learn from three in four of all
+candidates, marked by the base rules and by key words before the value; each generator's
+threshold is the lowest score that keeps ``PRECISION`` on the others. The candidates' features
+are kept on disk and learned from in parallel, so no task or driver holds them. Trees are applied
+as one SQL expression, in the row of the text.
 
 All patterns are written so that matching never backtracks into what it has taken, which keeps
 the time linear in the text and the stack flat. No text is shuffled.
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from casebind.sources.staging import staged
 
-TRAINING_SPANS, PRECISION = 20_000, 0.98
+PRECISION = 0.98
 TREES, DEPTH = 10, 3
 
 # What counts as each kind. Possessive forms of the rules; a word run is entered at
@@ -198,19 +199,19 @@ class Model:
         return self.score(candidate) >= limit
 
 
-def train(found: DataFrame, max_spans: int = TRAINING_SPANS) -> Model:
-    """Trees from a bounded sample of the candidates in ``found``; none without both marks."""
-    sample = (found.select("doc_id", F.explode("candidates").alias("c"))
-              .select("doc_id", "c.*").withColumn("order", F.xxhash64("doc_id", "start", "end", "generator"))
-              .orderBy("order", "doc_id", "start").limit(max_spans))
-    sample = staged(sample, "training-spans").withColumn("label", F.col("label").cast("double"))
-    learned = F.pmod(F.col("order"), F.lit(4)) > 0
-    marks = [r["label"] for r in sample.where(learned).select("label").distinct().collect()]  # two
+def train(found: DataFrame) -> Model:
+    """Trees from the candidates in ``found``, thresholds from those left out; none without both marks."""
+    spans = (found.select("doc_id", F.explode("candidates").alias("c")).select("doc_id", "c.*")
+             .withColumn("part", F.xxhash64("doc_id", "start", "end", "generator"))
+             .select("generator_name", "part", F.col("label").cast("double").alias("label"), *FEATURES))
+    spans = staged(spans, "training-spans")
+    learned = F.pmod(F.col("part"), F.lit(4)) > 0
+    marks = [r["label"] for r in spans.where(learned).select("label").distinct().collect()]  # two
     if len(marks) < 2:
         return Model([], {})
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     fitted = GBTClassifier(labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=9,
-                           checkpointInterval=-1).fit(vectors.transform(sample.where(learned)))
+                           checkpointInterval=-1).fit(vectors.transform(spans.where(learned)))
     lines = [x for x in fitted.toDebugString.splitlines()[1:] if x.strip()]
     trees = []
     while lines:
@@ -219,7 +220,7 @@ def train(found: DataFrame, max_spans: int = TRAINING_SPANS) -> Model:
     model = Model(list(zip(fitted.treeWeights, trees, strict=True)), {})
     p = F.floor(model.score(F.struct(*FEATURES)) * 100).cast("int")
     # at most 101 rows per generator
-    rows = (sample.where(~learned).groupBy("generator_name", p.alias("p"))
+    rows = (spans.where(~learned).groupBy("generator_name", p.alias("p"))
             .agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect())
     for g in GENERATORS:
         good = n = 0

@@ -437,6 +437,16 @@ def test_base_spans_against_the_rules(spark, docs, no_docs):
     assert pii.find_spans(no_docs).count() == 0
 
 
+def test_trees_learn_from_every_candidate(spark, monkeypatch):
+    texts = spark.range(12_000).select(F.col("id").alias("doc_id"), F.concat(
+        F.lit('token = "'), F.sha1(F.col("id").cast("string").cast("binary")), F.lit('"')).alias("text"))
+    found = texts.select("doc_id", pii.candidates(F.col("text"), pii.base_spans(F.col("text"))).alias("candidates"))
+    kept, write = [], pii.staged
+    monkeypatch.setattr(pii, "staged", lambda df, label: kept.append(write(df, label)) or kept[-1])
+    pii.train(found)
+    assert kept[0].count() == found.agg(F.sum(F.size("candidates"))).first()[0] > 20_000
+
+
 def test_trees_add_secrets_and_redaction_replaces_spans(spark):
     rng, rows = random.Random(9), []
     for i in range(1200):
