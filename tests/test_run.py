@@ -187,3 +187,17 @@ def test_sources_are_read_once(spark, inputs, tmp_path):
     main = stages.match(pulled, wrangled, CONFIG, staged)
     for rows in (pulled.submissions, pulled.received, wrangled.checked, main.matched):
         assert not any(f.startswith(place) for f in rows.inputFiles())
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_long_form_rows_are_dealt_out_before_they_are_sorted(spark):
+    wide = spark.createDataFrame(
+        [(str(n), *([str(n)] * 16)) for n in (1, 2, 2, None, None)],
+        ", ".join(["wdrs_case_id string", *(f"{c} string" for c in forms.SLOT_COLUMNS)]))
+    out = forms.slot_pivot(forms.form_unpivot(wide))
+    plan = _plan(out)  # read from its end: the first step of all stands last
+    assert plan.rindex("Exchange hashpartitioning(") > plan.rindex("Sort [")
+    assert out.count() == 3 * 4
