@@ -201,3 +201,8 @@ def test_long_form_rows_are_dealt_out_before_they_are_sorted(spark):
     plan = _plan(out)  # read from its end: the first step of all stands last
     assert plan.rindex("Exchange hashpartitioning(") > plan.rindex("Sort [")
     assert out.count() == 3 * 4
+
+
+def test_subtypes_and_history_are_told_without_sorting_rows(inputs):
+    both = quality.with_history_and_subtypes(inputs.standardized, inputs.rostered, [])
+    assert "SortAggregate" not in _plan(both) and "ShuffledHashJoin" in _plan(both)
