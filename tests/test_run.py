@@ -206,3 +206,12 @@ def test_long_form_rows_are_dealt_out_before_they_are_sorted(spark):
 def test_subtypes_and_history_are_told_without_sorting_rows(inputs):
     both = quality.with_history_and_subtypes(inputs.standardized, inputs.rostered, [])
     assert "SortAggregate" not in _plan(both) and "ShuffledHashJoin" in _plan(both)
+
+
+def test_ledgers_of_a_run_come_from_one_join(spark, inputs):
+    files = {tuple(sorted(rows.inputFiles())) for rows in inputs.ledgers.values()}
+    assert len(files) == 1 and not any("lineitem" in f for f in next(iter(files)))
+    for name, rows in (("rostered_tbl", inputs.rostered), ("no_match_tbl", inputs.no_match),
+                       ("fuzzy_matched_review_tbl", inputs.review_ledger)):
+        kept = inputs.ledgers[name]
+        assert kept.columns == rows.columns and kept.exceptAll(rows).isEmpty() and rows.exceptAll(kept).isEmpty()
