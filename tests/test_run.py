@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from casebind import settings as S
 from casebind.operators import forms, quality, roster
+from casebind.operators.standardize import standardize
 from casebind.plans import run as runs
 from casebind.plans import stages
 from casebind.sources.staging import staged
@@ -215,3 +216,63 @@ def test_ledgers_of_a_run_come_from_one_join(spark, inputs):
                        ("fuzzy_matched_review_tbl", inputs.review_ledger)):
         kept = inputs.ledgers[name]
         assert kept.columns == rows.columns and kept.exceptAll(rows).isEmpty() and rows.exceptAll(kept).isEmpty()
+
+
+def _odd_submissions(spark):
+    """Repeated and missing keys, a rostered submission, several subtypes, missing birth dates."""
+    a, b, none = "Influenza A(H3) virus detected by RT-PCR {64}", "Influenza A(H5) virus detected by RT-PCR", "Nothing {60}"
+    rows = [("1", "Ann", "Lee", "1/2/1990", a, "51"), ("1", "Anna", "Lee", " 1/2/1990\n", a, "51"),
+            ("2", "Bo", "Ray", "1990-02-01", a, "51"), ("2", "Bo", "Ray", "1990-02-01", b, "51"),
+            ("3", "Cy", "Fox", "3/3/1993", a, "51"), (None, "Di", "Orr", "4/4/1994", a, "51"),
+            (None, "Di", "Orr", "4/4/1994", b, "51"), ("5", "Ed", "Poe", None, a, "51"),
+            ("6", "Flo", "Day", "6/6/1996", a, "52"), ("7", "Gus", "Kay", "7/7/1997", none, "51"),
+            ("8", "Hal", "May", "8/8/1998", "odd", "51"), ("9", None, None, None, a, "53"), ("9", "Ida", "Ash", "9/9/1999", a, "51")]
+    return spark.createDataFrame(
+        [(*r, "Nasal Swabs", "some lab", "M1", "2024-01-01", "2024-01-03") for r in rows],
+        "PHLAccessionNumber string, PatientFirstName string, PatientLastName string, PatientBirthDate string, "
+        "ResultTextConclusion string, TestResult string, SpecimenSource string, SubmitterName string, "
+        "SubmitterPatientNumber string, SpecimenDateCollected string, SpecimenDateReceived string")
+
+
+def _same_rows(a, b):
+    return a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+@pytest.mark.parametrize("by_date", [False, True])
+def test_wide_rows_are_split_without_being_written_again(spark, inputs, by_date):
+    labels = []
+
+    def stage(df, label, partition_by=()):
+        labels.append(label)
+        return staged(df, label, partition_by)
+
+    pulled = stages.pull(
+        _odd_submissions(spark), inputs.fixture("wizard"), inputs.fixture("investigation"), CONFIG, staged)
+    rostered = spark.createDataFrame([("3", 1, "2024-01-01"), ("1", 2, "2023-01-01"), ("7", None, "2024-01-01")],
+                                     f"{KEY} string, CASE_ID bigint, day string").select(
+        KEY, "CASE_ID", F.col("day").cast("date").alias("submitted_collection_date"))
+    config = dataclasses.replace(CONFIG, history_by_date=by_date)
+    out = stages.wrangle(pulled, rostered, config, stage)
+    assert "checked" not in labels
+    assert keys(out.checked) == {"1", "2", "5", "6", "7", "8", "9", None} - (set() if by_date else {"1"})
+    checked = out.checked.filter(~F.col("WDRS_RESULT_SUMMARY").eqNullSafe("G_NEGATIVE"))
+    clean = checked.filter(~F.col("qa_flag") & (F.col("WDRS_RESULT") != "G_FLU_ND")).select(*out.clean.columns)
+    assert _same_rows(out.clean, clean) and out.clean.count() == (5 if by_date else 3)
+    assert _same_rows(out.issues, checked.filter("qa_flag").select(*out.issues.columns))
+    assert keys(out.issues) == {"2", "5", "8", "9"}
+    assert _same_rows(out.to_link, quality.link_input(out.clean))
+    linkable = out.unflagged.join(out.to_link.select(KEY), KEY, "left_semi").select(*out.clean.columns)
+    assert _same_rows(linkable, out.clean.filter(F.col(KEY).isNotNull()))
+    above, *below = _plan(out.issues).split("Exchange hashpartitioning")
+    assert below and "PatientFirstName" not in above
+
+
+def test_dates_as_text_are_cleaned_once(spark):
+    rows = _odd_submissions(spark)
+    assert _plan(standardize(rows).select("PatientBirthDate")).count("regexp_replace(PatientBirthDate") <= 2
+    days = {r[0] for r in standardize(rows).filter("PHLAccessionNumber = '1'").select("PatientBirthDate").collect()}
+    assert days == {dt.date(1990, 1, 2)}
+
+
+def test_a_run_writes_the_submissions_once(inputs, finished):
+    assert sorted(finished.pulled.submissions.inputFiles()) == sorted(inputs.stored_submissions.inputFiles())
