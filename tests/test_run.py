@@ -276,3 +276,16 @@ def test_dates_as_text_are_cleaned_once(spark):
 
 def test_a_run_writes_the_submissions_once(inputs, finished):
     assert sorted(finished.pulled.submissions.inputFiles()) == sorted(inputs.stored_submissions.inputFiles())
+
+
+def test_persons_are_stored_before_they_are_matched(spark, tmp_path):
+    from checks.queries import QUERIES
+    spark.createDataFrame([(n, n, dt.date(2024, 1, 1 + n), "1-URGENT", "F") for n in (1, 2, 2, 4)],
+                          "o_orderkey bigint, o_custkey bigint, o_orderdate date, o_orderpriority string, "
+                          "o_orderstatus string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(n, k) for n in (1, 2, 4) for k in (1, 2)], "l_orderkey bigint, l_linenumber int").write.parquet(
+        f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1,), (2,), (4,)], "c_custkey bigint").write.parquet(f"{tmp_path}/customer.parquet")
+    best = QUERIES["best_match"](spark, str(tmp_path))
+    assert not any(str(tmp_path) in f for f in best.inputFiles())
+    assert {r["CASE_ID"] for r in best.collect()} == {100002, 100004}  # an odd order is no lab
