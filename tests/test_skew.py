@@ -92,3 +92,22 @@ def test_a_case_with_a_third_of_all_labs(spark):
     rows = got.count()
     assert rows == want.count() and got.distinct().count() == rows
     assert got.toDF(*want.columns).exceptAll(want).count() == 0
+
+
+def test_absent_rows_bring_only_what_is_read(facts, lookup):
+    """No hash of columns that nobody reads decides where rows without a key go."""
+    spark = facts.sparkSession
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        wide = lookup_join(facts.withColumn("text", F.concat(F.lit("wide"), "id")), lookup, ["k"], "left", [])
+        rows = absent_rows(wide, lookup, ["k"], [])
+        plan = rows.select("k")._jdf.queryExecution().executedPlan().toString()
+        above, *below = plan.split("Exchange hashpartitioning(k")
+        assert below and "text#" not in above
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    spread = absent_rows(facts, lookup, ["k"])
+    assert spread.exceptAll(facts.join(lookup, ["k"], "left_anti")).isEmpty()
+    assert spread.filter("k IS NULL").count() == 2000
