@@ -212,3 +212,49 @@ def test_plan_has_no_product_and_no_python(inputs):
     plan = plan_of(inputs.matched.combined_roster)
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "Window"):
         assert bad not in plan
+
+
+@pytest.mark.parametrize("threshold", [55, 80, 100])
+def test_small_and_large_blocks_give_the_same_pairs(spark, monkeypatch, threshold):
+    """Blocks compared one by one, through the segment index, and some either way."""
+    rng = random.Random(threshold)
+
+    def name():
+        return "".join(rng.choice("abc") for _ in range(rng.randint(1, 6)))
+
+    days = [dt.date(2024, 1, 1) + dt.timedelta(n) for n in range(40)]
+    born = [dt.date(1990, 1, 1), dt.date(1991, 1, 1)]
+    ref = [(i, name(), name(), rng.choice(born), rng.choice(days)) for i in range(150)]
+    src = [(f"s{i}", noisy(rng, f) or "a", noisy(rng, g) or "b", b, d + dt.timedelta(rng.randint(-7, 7)))
+           for i, f, g, b, d in ref]
+    persons = L.people(spark.createDataFrame(src, SRC), carry=[]).filter(L.complete()).select(*L.PERSON).distinct()
+    refs, link = L.reference_people(spark.createDataFrame(ref, REF)), LinkConfig(threshold)
+    want = {tuple(r) for r in L.segment_pairs(persons, refs, link).collect()}
+    sizes = sorted(r["count"] for r in refs.groupBy("ref_dob", L._slot(F.col("reference_collection_date"), 5)).count().collect())
+    middle = sizes[len(sizes) // 2 - 1]
+    assert middle < sizes[-1] and want
+    for few in (0, middle, 1000):
+        monkeypatch.setattr(L, "FEW", few)
+        assert {tuple(r) for r in L.similar_pairs(persons, refs, link).collect()} == want
+
+
+def test_a_reference_of_a_small_block_moves_once(spark):
+    """Neither cut into segments nor copied to the slots near it."""
+    ref = [(i, "ann", f"lee{i}", DAY, DAY + dt.timedelta(i)) for i in range(40)]
+    src = [(f"s{i}", "ann", f"leo{i}", DAY, DAY + dt.timedelta(i)) for i in range(40)]
+    persons = L.people(spark.createDataFrame(src, SRC), carry=[]).select(*L.PERSON).distinct()
+    pairs = L.similar_pairs(persons, L.reference_people(spark.createDataFrame(ref, REF)), LinkConfig(), [])
+    assert plan_of(pairs).count("Generate explode") == 1  # the persons, to the slots of their window
+    assert pairs.count() >= 40
+
+
+def test_equal_names_meet_in_wide_slots(spark):
+    """Few references are copied to two slots, and a pair across the end of one is found."""
+    ref = [(i, "ann", "lee", DAY, DAY + dt.timedelta(3 * i)) for i in range(300)]
+    src = [(f"s{i}", "ann", "lee", DAY, DAY + dt.timedelta(3 * i + 5)) for i in range(300)]
+    persons = L.people(spark.createDataFrame(src, SRC), carry=[]).select(*L.PERSON).distinct()
+    refs = L.reference_people(spark.createDataFrame(ref, REF))
+    assert L._by_slot(refs, LinkConfig(), L.WIDE).count() < 1.2 * 300
+    got = {(r["submitted_collection_date"], r["reference_collection_date"])
+           for r in L.exact_pairs(persons, refs, LinkConfig()).collect()}
+    assert got == {(s[4], r[4]) for s in src for r in ref if abs((s[4] - r[4]).days) <= 5}

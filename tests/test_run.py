@@ -289,3 +289,49 @@ def test_persons_are_stored_before_they_are_matched(spark, tmp_path):
     best = QUERIES["best_match"](spark, str(tmp_path))
     assert not any(str(tmp_path) in f for f in best.inputFiles())
     assert {r["CASE_ID"] for r in best.collect()} == {100002, 100004}  # an odd order is no lab
+
+
+def _small_tables(spark, folder):
+    """Orders that come twice, without a customer, and of a priority without history; lines of no order."""
+    orders = [(1, 1, "1-URGENT", "F"), (2, 2, "2-HIGH", "O"), (2, 2, "2-HIGH", "O"), (3, 3, "5-LOW", "F"),
+              (4, None, "2-HIGH", "F"), (6, 2, "3-MEDIUM", "F"), (8, 1, None, "F"), (10, 1, "2-HIGH", None)]
+    spark.createDataFrame([(k, c, dt.date(2024, 1, k), p, s) for k, c, p, s in orders],
+                          "o_orderkey bigint, o_custkey bigint, o_orderdate date, o_orderpriority string, "
+                          "o_orderstatus string").write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame([(k, n) for k in (1, 2, 2, 3, 4, 6, 8, 9, 10, None) for n in (1, 2)],
+                          "l_orderkey bigint, l_linenumber int").write.parquet(f"{folder}/lineitem.parquet")
+    spark.createDataFrame([(1,), (2,), (3,)], "c_custkey bigint").write.parquet(f"{folder}/customer.parquet")
+
+
+def test_ledgers_of_a_run_need_no_join_of_submissions(spark, inputs, tmp_path):
+    _small_tables(spark, tmp_path)
+    try:
+        own = type(inputs)(spark, str(tmp_path))
+        assert _same_rows(own.stored_submissions, own.submissions) and own.submissions.count() == 20
+        plan = _plan(own._stored_records)
+        assert "Join" not in plan and "Exchange" not in plan
+        for name, rows in (("rostered_tbl", own.rostered), ("no_match_tbl", own.no_match),
+                           ("fuzzy_matched_review_tbl", own.review_ledger)):
+            assert _same_rows(own.ledgers[name], rows) and not rows.isEmpty()
+        assert own.no_match.filter(f"{KEY} = 'WA2'").count() == 16  # two orders, four lines, two of history
+    finally:
+        type(inputs)(spark, "/root/testdata/sf0.001")  # the views of the other tests
+
+
+def test_record_number_matches_move_rows_once(spark):
+    from casebind.operators import mrn
+    rows = spark.createDataFrame([(k, *[f"{k}{n}"] * len(S.STANDARD_COLUMNS)) for k in "aab" for n in (1, 1, 2)],
+                                 ", ".join(f"{c} string" for c in [KEY, *S.STANDARD_COLUMNS]))
+    pairs = spark.createDataFrame([("a", 1), ("a", 2), ("c", 3)], f"{KEY} string, CASE_ID bigint")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        full = mrn.id_matched_full(pairs, rows, CONFIG.run_date, [])
+        assert _plan(full).count("Exchange") == 2  # the rows and the pairs
+        assert sorted((r[KEY], r["CASE_ID"], r["WDRS_RESULT"]) for r in full.collect()) == [
+            ("a", c, v) for c in (1, 2) for v in ("a1", "a2")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_staged_frames_are_packed_tightly(spark):
+    assert all(".zstd." in f for f in staged(spark.range(3), "packed").inputFiles())
