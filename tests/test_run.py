@@ -318,6 +318,26 @@ def test_ledgers_of_a_run_need_no_join_of_submissions(spark, inputs, tmp_path):
         type(inputs)(spark, "/root/testdata/sf0.001")  # the views of the other tests
 
 
+def test_retried_rows_move_once(spark, inputs):
+    """Only one row a submission meets what is rostered; wide rows meet the links."""
+    labels = []
+
+    def stage(df, label, partition_by=()):
+        labels.append(label)
+        if label == "rematch_input":
+            assert "TEST_RESULT" not in _plan(df)
+        return staged(df, label, partition_by)
+
+    ledgers = inputs.ledgers
+    extra = ledgers["no_match_tbl"].limit(3).withColumn(KEY, F.lit(None).cast("string"))
+    open_rows = ledgers["no_match_tbl"].unionByName(extra)
+    some = open_rows.filter("NOT match_found").select(KEY).filter(f"{KEY} LIKE '%1'").distinct().withColumn("CASE_ID", F.lit(1))
+    again = stages.rematch(open_rows, some, inputs.stored_with_people, CONFIG, stage)
+    assert "history" not in labels
+    left = open_rows.filter("NOT match_found").join(some, KEY, "left_anti").filter(f"{KEY} IS NOT NULL")
+    assert _same_rows(again.linked.select(KEY, *S.STANDARD_COLUMNS), left.select(KEY, *S.STANDARD_COLUMNS))
+
+
 def test_record_number_matches_move_rows_once(spark):
     from casebind.operators import mrn
     rows = spark.createDataFrame([(k, *[f"{k}{n}"] * len(S.STANDARD_COLUMNS)) for k in "aab" for n in (1, 1, 2)],
